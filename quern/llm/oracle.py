@@ -36,3 +36,27 @@ SELECT group_id, g.k AS group_key, n_records,
        max(id) FILTER (field_name = 'myanmar') AS myanmar_id, max(v) FILTER (field_name = 'myanmar') AS myanmar,
        max(id) FILTER (field_name = 'pos') AS pos_id, max(v) FILTER (field_name = 'pos') AS pos
 FROM g LEFT JOIN (SELECT * FROM r WHERE rn = 1) b ON b.k = g.k GROUP BY 1, 2, 3"""
+
+_P9 = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda t: t <> '') AS w FROM documents WHERE text IS NOT NULL),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS s, w FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS x FROM g),
+m AS (SELECT x FROM h GROUP BY x HAVING min(doc_id) < max(doc_id)),
+p AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 50 THEN 0 ELSE 1 END AS fresh FROM h SEMI JOIN m USING (x)),
+r AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM p),
+f AS (SELECT doc_id, min(s)::BIGINT AS first_token, (max(s) + 49)::BIGINT AS last_token FROM r GROUP BY doc_id, run)"""
+SQL["p9_found"] = _P9 + "SELECT doc_id, first_token, last_token FROM f"
+SQL["p9_share"] = _P9 + r""",
+n AS (SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), '[ \t\r\n]+'), lambda t: t <> ''))::BIGINT AS n_tokens FROM documents),
+k AS (SELECT doc_id, sum(last_token - first_token + 1)::BIGINT AS n_shared FROM f GROUP BY 1)
+SELECT doc_id, n_tokens, coalesce(n_shared, 0) AS n_shared, CASE WHEN n_tokens > 0 THEN round(coalesce(n_shared, 0) / n_tokens, 6) END AS shared_share
+FROM n LEFT JOIN k USING (doc_id)"""
+SQL["p9_lines"] = r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, i AS line_no, ls[i] AS x, CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(ls[1:i - 1], lambda y: length(y) + 1)) END AS first_char
+      FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM l)),
+u AS (SELECT *, lower(trim(regexp_replace(x, '\s+', ' ', 'g'))) AS unit FROM e),
+k AS (SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(line_no) OVER w AS kept_line_no
+      FROM u WHERE length(unit) >= 40 WINDOW w AS (PARTITION BY unit ORDER BY doc_id, line_no))
+SELECT doc_id, line_no::BIGINT AS line_no, first_char::BIGINT AS first_char, (first_char + length(x))::BIGINT AS last_char, kept_doc_id, kept_line_no::BIGINT AS kept_line_no
+FROM k WHERE doc_id <> kept_doc_id OR line_no <> kept_line_no"""

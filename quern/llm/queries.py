@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import frequency, survivors
+from quern.llm import frequency, spans, survivors
 from quern.session import table
 
 Q: dict = {}
@@ -49,3 +49,19 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
     return _survivors(spark, d)
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return spans.shared_spans(table(spark, d, "documents"))
+
+
+@query
+def p9_share(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return spans.shared_share(docs, spans.shared_spans(docs))
+
+
+@query
+def p9_lines(spark: SparkSession, d: str) -> DataFrame:
+    return spans.repeated_lines(table(spark, d, "documents"))
