@@ -60,3 +60,23 @@ k AS (SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(line_no)
       FROM u WHERE length(unit) >= 40 WINDOW w AS (PARTITION BY unit ORDER BY doc_id, line_no))
 SELECT doc_id, line_no::BIGINT AS line_no, first_char::BIGINT AS first_char, (first_char + length(x))::BIGINT AS last_char, kept_doc_id, kept_line_no::BIGINT AS kept_line_no
 FROM k WHERE doc_id <> kept_doc_id OR line_no <> kept_line_no"""
+
+SQL["p7_found"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{M}\p{N}]+') AS w FROM eval_items WHERE passage IS NOT NULL),
+n AS (SELECT *, least(12, len(w)) AS n FROM i WHERE len(w) > 0),
+e AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS x FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM n)),
+k AS (SELECT DISTINCT n FROM n),
+g AS (SELECT DISTINCT doc_id, n, array_to_string(w[s:s + n - 1], ' ') AS x
+      FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM d, k WHERE len(w) >= n))
+SELECT DISTINCT doc_id, item_id FROM g JOIN e USING (n, x)"""
+SQL["p3_found"] = r"""
+WITH t AS (
+  SELECT 'zolai_songs' AS table_name, id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM zolai_songs
+  UNION ALL SELECT 'articles', id, regexp_extract_all(lower(content), '[\p{L}\p{M}\p{N}]+') FROM articles),
+s AS (SELECT DISTINCT table_name, id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT table_name, id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 10)),
+n AS (SELECT table_name, id, count(*) AS n FROM s GROUP BY 1, 2),
+o AS (SELECT a.table_name, a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.table_name = b.table_name AND a.g = b.g AND a.id < b.id GROUP BY 1, 2, 3)
+SELECT o.table_name, id_a, id_b FROM o JOIN n x ON x.table_name = o.table_name AND x.id = id_a JOIN n y ON y.table_name = o.table_name AND y.id = id_b
+WHERE c >= 0.5 * (x.n + y.n - c)"""

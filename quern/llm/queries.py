@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import frequency, spans, survivors
+from quern.llm import frequency, leakage, neardup, spans, survivors
 from quern.session import table
 
 Q: dict = {}
@@ -65,3 +65,30 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_lines(spark: SparkSession, d: str) -> DataFrame:
     return spans.repeated_lines(table(spark, d, "documents"))
+
+
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).where("exact").select("doc_id", "item_id")
+
+
+@query
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def _near3(spark, d):
+    texts = table(spark, d, "zolai_songs").select(F.lit("zolai_songs").alias("part"), "id", "text")
+    texts = texts.unionAll(table(spark, d, "articles").select(F.lit("articles").alias("part"), "id", F.col("content").alias("text")))
+    return neardup.similar_pairs(texts, 0.5, 3, 10, part_col="part")
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    members, links = _near3(spark, d)
+    return neardup.expand(members, links).withColumnRenamed("part", "table_name")
+
+
+@query
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.duplicate_groups(*_near3(spark, d)).withColumnRenamed("part", "table_name")
