@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import frequency, leakage, neardup, spans, survivors
+from quern.llm import frequency, leakage, mixing, neardup, spans, survivors
 from quern.session import table
 
 Q: dict = {}
@@ -92,3 +92,17 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(*_near3(spark, d)).withColumnRenamed("part", "table_name")
+
+
+def _mix(spark, d):
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+@query
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+@query
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[1]
