@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import frequency, leakage, mixing, neardup, spans, survivors
+from quern.llm import frequency, leakage, lookalikes, mixing, neardup, spans, survivors
 from quern.session import table
 
 Q: dict = {}
@@ -106,3 +106,19 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
+
+
+def _canonical(spark, d, keep_clean):
+    vocabulary, verses = table(spark, d, "zolai_vocabulary"), table(spark, d, "bible_verses_enhanced")
+    fields = [("zolai_vocabulary", "zolai", vocabulary), ("bible_verses_enhanced", "zolai_text", verses), ("bible_verses_enhanced", "myanmar_text", verses)]
+    return lookalikes.canonicalise(fields, [(vocabulary, "zolai"), (vocabulary, "myanmar")], keep_clean=keep_clean)
+
+
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _canonical(spark, d, False).select("table_name", "field_name", "record_id")
+
+
+@query
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    return _canonical(spark, d, True).select("table_name", "field_name", "record_id", "canonical")
