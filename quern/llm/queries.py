@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import frequency, leakage, lookalikes, mixing, neardup, spans, survivors
+from quern.llm import frequency, language, leakage, lookalikes, mixing, neardup, spans, survivors
 from quern.session import table
 
 Q: dict = {}
@@ -122,3 +122,28 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     return _canonical(spark, d, True).select("table_name", "field_name", "record_id", "canonical")
+
+
+def _passages(spark, d):
+    articles, labels = table(spark, d, "articles"), table(spark, d, "language_labels")
+    labelled = articles.select("id", language.stated(F.col("language"), labels).alias("lang"), F.col("content").alias("text"))
+    return articles, labels, language.passages(articles, language.fit(table(spark, d, "language_samples"), labelled))
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    articles, labels, found = _passages(spark, d)
+    said = articles.select("id", language.stated(F.col("language"), labels).alias("stated_lang"))
+    each = found.where("lang IS NOT NULL").select("id", "lang").distinct().join(said, "id")
+    return each.where("stated_lang IS NULL OR stated_lang <> lang").select("id", "lang")
+
+
+@query
+def p4_passages(spark: SparkSession, d: str) -> DataFrame:
+    return _passages(spark, d)[2]
+
+
+@query
+def p4_documents(spark: SparkSession, d: str) -> DataFrame:
+    articles, labels, found = _passages(spark, d)
+    return language.documents(articles, found, F.col("language"), labels)
