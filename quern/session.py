@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +29,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: the one the session names in ``spark.checkpoint.dir``.
+
+    Only where none is named (tests, a laptop) a temporary one is set.
+    """
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        named = tempfile.mkdtemp(prefix="quern-shared-")
+        sc.setCheckpointDir(named)
+    return named
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that the session names in ``spark.checkpoint.dir``.
+    """Write ``df`` as a table in the shared folder and read it back.
 
-    The files live in storage that all executors share, so that a lost executor loses nothing.
-    Only where no folder is named (tests, a laptop) is a temporary one set.
+    Computed once (an RDD checkpoint runs its last stage twice), columnar, and independent of the
+    executors that made it: a lost one loses nothing. Removed by :func:`release` or at exit.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="quern-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def release() -> None:
+    """Remove the tables that :func:`cut_lineage` wrote; results that still read them can't be run again."""
+    while _written:
+        spark, path = _written.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001 - the session is gone, and its folder with it
+            return
