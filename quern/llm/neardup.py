@@ -2,29 +2,68 @@
 
 Records with equal shingle sets are one class first. Shingles are ordered rare-first over the
 whole collection; two sets of similarity t must share a shingle within their prefixes, of which
-those that occur once need not be joined at all. Length, positional and suffix (partition count)
-filters thin the candidates; each pair is then verified once, on whole sets.
+those that occur once need not be joined at all. Length, positional and suffix (signature bits
+that differ) filters thin the candidates; each pair is then verified once, on whole sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.leakage import words
+from quern.llm.tokens import grams, mix
 from quern.session import cut_lineage
 
-WORD = r"[\p{L}\p{M}\p{N}]+"
-SUFFIX_PARTS = 16
+SUFFIX_WORDS = 4  # 64-bit words of a set's signature
+
+
+class _WordHashes(dict):
+    """Word -> 64-bit hash, kept for words seen before."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
 def shingle_sets(df: DataFrame, least_words: int, size: int, id_col: str, text_col: str, part_col: str | None = None) -> DataFrame:
-    """``part, id, n, sh``: the distinct shingle hashes of each text with enough words, sorted."""
+    """``part, id, n, sh, key``: the distinct shingle hashes of each text with enough words, sorted, and their digest."""
     part = F.col(part_col) if part_col else F.lit("")
-    w = df.where(F.col(text_col).isNotNull()).select(part.alias("part"), F.col(id_col).cast("bigint").alias("id"), F.regexp_extract_all(F.lower(text_col), F.lit(WORD), F.lit(0)).alias("w"))
-    w = w.where(F.size("w") >= max(least_words, size))
-    terms = ", ".join(f"w[i + {j}]" for j in range(size))
-    sh = F.expr(f"array_sort(array_distinct(transform(sequence(0, size(w) - {size}), i -> xxhash64(part, {terms}))))")
-    return w.select("part", "id", sh.alias("sh")).select("part", "id", F.size("sh").alias("n"), "sh")
+    given = df.select(part.cast("string").alias("part"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    given = given.where("text IS NOT NULL AND id IS NOT NULL")
+    need = max(least_words, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for whole in batches:
+            step = max(1, int(whole.num_rows * (4 << 20) / max(1, whole.nbytes)))
+            for at in range(0, whole.num_rows, step):
+                b = whole.slice(at, step)
+                keep, sets, keys = [], [], []
+                for i, (text, p) in enumerate(zip(b.column(2).to_pylist(), b.column(0).to_pylist())):
+                    w = words(text)
+                    if len(w) < need:
+                        continue
+                    h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
+                    # the part is in the hash: records of two parts share no shingle
+                    sh = np.unique(mix(grams(h, size) ^ np.uint64(xxhash.xxh3_64_intdigest(p or ""))).view(np.int64))
+                    keep.append(i)
+                    sets.append(sh)
+                    keys.append(xxhash.xxh3_128_hexdigest(sh.tobytes()))
+                if keep:
+                    n = np.array([len(x) for x in sets], np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(np.concatenate(sets)))
+                    at_ = pa.array(keep)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(at_), b.column(1).take(at_), pa.array(n), lists, pa.array(keys)], names=["part", "id", "n", "sh", "key"])
+
+    return given.mapInArrow(run, "part string, id bigint, n int, sh array<bigint>, key string")
 
 
 def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_words: int = 1, id_col: str = "id", text_col: str = "text", part_col: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -32,36 +71,38 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
 
     A class is all records with one shingle set, named by its smallest id. Every two classes of one
     ``part`` with a Jaccard similarity of at least ``threshold`` are linked; records with fewer
-    than ``least_words`` or ``size`` words, NULL or empty texts belong to no class.
+    than ``least_words`` or ``size`` words, NULL or empty texts and NULL ids belong to no class.
     """
-    docs = shingle_sets(df, least_words, size, id_col, text_col, part_col)
-    docs = cut_lineage(docs.withColumn("key", F.md5(F.array_join(F.col("sh").cast("array<string>"), ","))))
+    docs = cut_lineage(shingle_sets(df, least_words, size, id_col, text_col, part_col))
     reps = docs.groupBy("part", "key").agg(F.min(F.struct("id", "n", "sh")).alias("r"))
-    members = docs.select("part", "id", "key").join(reps.select("part", "key", F.col("r.id").alias("class_id")), ["part", "key"]).drop("key")
-    reps = cut_lineage(reps.select("part", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sh").alias("sh")))
+    members = docs.select("part", "id", "key").join(reps.select("part", "key", F.col("r.id").alias("class_id")), ["part", "key"]).select("part", "id", "class_id").distinct()
+    reps = cut_lineage(reps.select("part", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sh").alias("sh")).withColumn("rid", F.monotonically_increasing_id()))
 
-    each = reps.select("part", "rep", "n", F.explode("sh").alias("g"))
+    each = reps.select("rid", "n", F.explode("sh").alias("g"))
     df2 = each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     t = F.lit(threshold)
     need = F.ceil(t * F.col("n") - 1e-9)
-    ranked = each.join(df2, "g").groupBy("part", "rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("o"))
+    bits = [F.expr(f"bit_or(if(pmod(g, {64 * SUFFIX_WORDS}) div 64 = {k}, shiftleft(1L, cast(pmod(g, 64) AS int)), 0L))").alias(f"s{k}") for k in range(SUFFIX_WORDS)]
+    ranked = each.join(df2, "g").groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("o"), *bits)
     # shingles that occur once come first and cannot match: they only move the positions
-    ranked = ranked.withColumn("once", F.col("n") - F.size("o")).withColumn("prefix", F.col("n") - need + 1 - F.col("once")).where("prefix > 0")
-    parts = F.expr(f"transform(sequence(0, {SUFFIX_PARTS - 1}), k -> size(filter(o, x -> pmod(x.g, {SUFFIX_PARTS}) = k)))")
-    post = ranked.select("part", "rep", "n", "once", parts.alias("h"), F.posexplode(F.expr("transform(slice(o, 1, cast(prefix AS int)), x -> x.g)")).alias("i", "g"))
-    post = cut_lineage(post.select("g", "part", "rep", "n", "h", (F.col("once") + F.col("i")).alias("pos")))
+    ranked = ranked.withColumn("m", F.size("o")).withColumn("once", F.col("n") - F.col("m")).withColumn("prefix", F.col("n") - need + 1 - F.col("once")).where("prefix > 0")
+    sig = [f"s{k}" for k in range(SUFFIX_WORDS)]
+    post = ranked.select("rid", "n", "m", "once", *sig, F.posexplode(F.slice("o", F.lit(1), F.col("prefix").cast("int"))).alias("i", "x"))
+    post = cut_lineage(post.select(F.col("x.g").alias("g"), "rid", "n", "m", *sig, (F.col("once") + F.col("i")).alias("pos")))
     a, b = post.alias("a"), post.alias("b")
     overlap = F.ceil(t / (1 + t) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     length = F.least("a.n", "b.n") >= t * F.greatest("a.n", "b.n") - 1e-9
-    position = 1 + F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) - 1 >= overlap
-    suffix = F.expr("aggregate(zip_with(a.h, b.h, (x, y) -> least(x, y)), 0, (s, x) -> s + x)") >= overlap
-    cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.rep") < F.col("b.rep")) & length & position).where(suffix)
-    pairs = cand.select(F.col("a.part").alias("part"), F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    sets = reps.select("part", "rep", "n", "sh")
-    left = pairs.join(sets.select(F.col("rep").alias("a"), "part", F.col("n").alias("na"), F.col("sh").alias("sa")), ["a", "part"])
-    both = left.join(sets.select(F.col("rep").alias("b"), "part", F.col("n").alias("nb"), F.col("sh").alias("sb")), ["b", "part"])
+    position = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= overlap
+    # each signature bit that differs is a shingle of one side alone
+    apart = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(SUFFIX_WORDS)), F.lit(0))
+    suffix = F.col("a.m") + F.col("b.m") - apart >= 2 * overlap
+    cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.rid") < F.col("b.rid")) & length & position & suffix)
+    pairs = cand.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+    left = pairs.join(reps.select(F.col("rid").alias("a"), "part", F.col("rep").alias("ra"), F.col("sh").alias("sa")), "a")
+    both = left.join(reps.select(F.col("rid").alias("b"), F.col("rep").alias("rb"), F.col("sh").alias("sb")), "b")
     both = both.withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    links = both.select("part", "a", "b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("similarity")).where(F.col("similarity") >= t - 1e-12)
+    similarity = F.col("both") / (F.size("sa") + F.size("sb") - F.col("both"))
+    links = both.select("part", F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), similarity.alias("similarity")).where(F.col("similarity") >= t - 1e-12)
     return members, links
 
 
