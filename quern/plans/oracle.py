@@ -1,3 +1,4 @@
-"""DuckDB statements that the core queries must equal."""
+"""The core queries' DuckDB statements."""
 
-SQL: dict[str, str] = {}
+from quern.plans import queries  # noqa: F401
+from quern.plans.registry import SQL  # noqa: F401

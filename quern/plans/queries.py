@@ -1,39 +1,4 @@
-"""Registered core queries: name -> (spark, sf_dir) -> DataFrame."""
+"""All core queries: importing the plan modules registers them."""
 
-from __future__ import annotations
-
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from quern.operators.unpack import unpack
-from quern.session import table
-
-Q: dict = {}
-
-
-def query(f):
-    Q[f.__name__] = f
-    return f
-
-
-PACKED = [("entries", "sources", "name"), ("zolai_vocabulary", "compound_parts", "part"), ("zolai_vocabulary", "bible_books", "code")]
-
-
-def _unpacked(spark: SparkSession, d: str, least: int) -> DataFrame:
-    parts = [
-        unpack(table(spark, d, t), kind, least, "id", c).select(F.lit(t).alias("table_name"), F.lit(c).alias("field_name"), "record_id", "value_pos", "value")
-        for t, c, kind in PACKED
-    ]
-    return reduce(DataFrame.unionAll, parts)
-
-
-@query
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _unpacked(spark, d, 2)
-
-
-@query
-def p2_values(spark: SparkSession, d: str) -> DataFrame:
-    return _unpacked(spark, d, 1)
+from quern.plans import packed, texts  # noqa: F401
+from quern.plans.registry import Q  # noqa: F401
