@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quern.functions import rules
 
@@ -27,7 +28,7 @@ def nullif_blank(c: Column) -> Column:
 
 
 def _normal(form: str):
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else x if x.isascii() else unicodedata.normalize(form, x))
 
@@ -86,7 +87,7 @@ def clean_term(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.regexp_replace(c, r"(?i)^[a-z]{1,4}\.\s+", ""), r"[|\n]", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     """Character references resolved; unknown ones become an apostrophe."""
     import re

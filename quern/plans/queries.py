@@ -1,4 +1,4 @@
 """All core queries: importing the plan modules registers them."""
 
-from quern.plans import dedups, packed, texts  # noqa: F401
+from quern.plans import dedups, joined, packed, texts  # noqa: F401
 from quern.plans.registry import Q  # noqa: F401
