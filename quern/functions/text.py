@@ -23,6 +23,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(c, r"\s+", " ")).isin("", "-"), F.lit(True))
 
 
+def at(c: Column, i: Column | int) -> Column:
+    """The element at a 1-based index (from the end if negative) or map key; NULL beyond."""
+    return F.try_element_at(c, i if isinstance(i, Column) else F.lit(i))
+
+
 def nullif_blank(c: Column) -> Column:
     return F.when(~blank(c), c)
 
@@ -103,7 +108,7 @@ def strip_punctuation(c: Column) -> Column:
 def headword(c: Column) -> Column:
     """Quotes and a bracketed tail out, first sentence, at most two words of 2+ characters; NULL if none."""
     c = F.regexp_replace(F.regexp_replace(c, "[\"“”]", ""), r"\s*\([^)]*\)", "")
-    first = F.element_at(F.split(c, "[.;\\n]"), 1)
+    first = at(F.split(c, "[.;\\n]"), 1)
     ws = F.slice(F.filter(F.split(F.trim(first), r"\s+"), lambda w: F.length(w) > 1), 1, 2)
     return F.when(F.size(ws) > 0, F.array_join(ws, " "))
 
@@ -174,7 +179,7 @@ def replace_forms(c: Column, forms: dict[str, str] | None = None) -> Column:
 
     def one(w: Column) -> Column:
         core = F.regexp_extract(w, r"^([^\p{L}\p{N}]*)(.*?)([^\p{L}\p{N}]*)$", 2)
-        new = F.try_element_at(table, F.lower(core))
+        new = at(table, F.lower(core))
         cased = F.when(core.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(new, 1, 1)), F.substring(new, 2, 1000))).otherwise(new)
         fixed = F.concat(F.regexp_extract(w, r"^([^\p{L}\p{N}]*)", 1), cased, F.regexp_extract(w, r"([^\p{L}\p{N}]*)$", 1))
         return F.coalesce(fixed, w)
@@ -194,7 +199,7 @@ def drop_repeats(ws: Column) -> Column:
 
 def end_with_verb(ws: Column, ending: str = "hi") -> Column:
     """C20: a missing verb ending appended; an empty list stays empty."""
-    has = F.element_at(ws, -1).isin(rules.VERB_ENDINGS)
+    has = at(ws, -1).isin(rules.VERB_ENDINGS)
     return F.when((F.size(ws) == 0) | has, ws).otherwise(F.concat(ws, F.array(F.lit(ending))))
 
 

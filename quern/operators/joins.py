@@ -56,7 +56,7 @@ def align_words(verses: DataFrame, lexicon: DataFrame) -> DataFrame:
     at position -1. One row per (id, word).
     """
     w = verses.select("id", "other", F.explode(F.array_distinct("own")).alias("word"))
-    j = w.join(lexicon, "word").withColumn("meaning", F.element_at("meanings", 1))
+    j = w.join(lexicon, "word").withColumn("meaning", T.at("meanings", 1))
     at = F.array_position("other", F.col("meaning")).cast("int") - 1
     conf = F.when(at < 0, 0.5).when(F.size("meanings") == 1, 0.9).otherwise(0.7)
     return j.select("id", "word", "meaning", at.alias("position"), conf.alias("confidence"))

@@ -302,7 +302,7 @@ SELECT user_id, n_correct, [1, 3, 7, 14, 30][least(n_correct, 4) + 1] AS interva
 def review_schedule(spark, d):
     """The next due time from the count of correct reviews."""
     c = table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("value") >= 50).alias("n_correct"), F.max("ts").alias("last_ts"))
-    days = F.element_at(F.array(*[F.lit(x) for x in (1, 3, 7, 14, 30)]), F.least("n_correct", F.lit(4)).cast("int") + 1)
+    days = T.at(F.array(*[F.lit(x) for x in (1, 3, 7, 14, 30)]), F.least("n_correct", F.lit(4)).cast("int") + 1)
     return c.select("user_id", "n_correct", days.alias("interval_days"), (F.col("last_ts") + F.make_dt_interval(days)).alias("due"))
 
 
