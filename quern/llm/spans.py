@@ -53,9 +53,10 @@ def shared_spans(df: DataFrame, length: int = 50, gram: int = 25, id_col: str =
     Tokens are maximal runs of characters other than space, tab and line break, numbered from 1. A
     token is shared if a run of ``length`` or more tokens around it stands in another document.
     NULL, empty and shorter texts share nothing; a repeat within one document alone doesn't count;
-    copies of a text count as other documents. Ids are taken to be unique.
+    copies of a text count as other documents. Rows that repeat an id are the same document, rows
+    with a NULL id none.
     """
-    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
 
     def anchors(batches):
         for whole in batches:

@@ -57,14 +57,15 @@ def field_survivors(
     Groups are rows with an equal normalised ``key``; a missing key makes no group. ``trust``
     (``source_file, trust_rank``) is joined by the file name after the last ``/``; Spark broadcasts
     it if it is small. NULL trust, confidence (also NaN) or time goes last; ties go to the smallest id.
+    Rows with a NULL id are left out.
     """
     known = trust.where(F.col("source_file").isNotNull()).groupBy(F.col("source_file").alias("_file")).agg(F.min("trust_rank").alias("_trust"))
-    rows = df.where(present(key)).select(
+    rows = df.where(present(key) & F.col(id_col).isNotNull()).select(
         normal_key(key).alias("_key"),
         F.col(id_col).cast("bigint").alias("_id"),
         F.regexp_extract(F.col(file_col), r"([^/]*)$", 1).alias("_file"),
         F.nanvl(F.col(conf_col).cast("double"), F.lit(None)).alias("_conf"),
-        F.unix_micros(F.col(time_col).cast("timestamp")).alias("_time"),
+        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(time_col).cast("timestamp_ntz")).alias("_time"),
         *[F.when(present(f), F.col(f).cast("string")).alias(f"v{i}") for i, f in enumerate(fields)],
     )
     rows = rows.join(known, "_file", "left").select(
