@@ -43,6 +43,11 @@ def _normal(form: str):
 nfc, nfkc = _normal("NFC"), _normal("NFKC")
 
 
+def strip(c: Column) -> Column:
+    """White space of any kind off both ends (SQL's trim takes plain spaces only)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space as one space, trimmed."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))

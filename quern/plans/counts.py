@@ -347,12 +347,12 @@ def customers_anti(spark, d):
 
 
 @query(
-    """WITH s AS (SELECT l_partkey, l_suppkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem WHERE l_shipdate >= DATE '1995-01-01' GROUP BY 1, 2)
+    """WITH s AS (SELECT l_partkey, l_suppkey, sum(l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(4,2)))::DOUBLE AS revenue FROM lineitem WHERE l_shipdate >= DATE '1995-01-01' GROUP BY 1, 2)
 SELECT l_partkey, l_suppkey, revenue FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY revenue DESC, l_suppkey) AS rn FROM s) WHERE rn = 1"""
 )
 def top_supplier(spark, d):
     l = table(spark, d, "lineitem").where("l_shipdate >= DATE'1995-01-01'")
-    s = l.groupBy("l_partkey", "l_suppkey").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+    s = l.groupBy("l_partkey", "l_suppkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("double").alias("revenue"))
     m = s.groupBy("l_partkey").agg(F.min(F.struct(-F.col("revenue"), F.col("l_suppkey").alias("l_suppkey"))).alias("m"))
     return m.select("l_partkey", F.col("m.l_suppkey").alias("l_suppkey"), (-F.col("m.col1")).alias("revenue"))
 

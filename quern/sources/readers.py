@@ -159,7 +159,8 @@ def html_text(c: Column) -> Column:
     """Tags become line breaks, entities are resolved, blank lines thinned."""
     c = F.regexp_replace(c, r"(?is)<(script|style)[^>]*>.*?</\1>", "")
     c = T.unescape_html(F.regexp_replace(c, "<[^>]+>", "\n"))
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"[ \t]*\n[ \t]*", "\n"), r"\n{3,}", "\n\n"))
+    c = F.regexp_replace(F.regexp_replace(c, r"[ \t]*\n[ \t]*", "\n"), r"\n{3,}", "\n\n")
+    return T.strip(c)
 
 
 def html_verses(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -171,7 +172,7 @@ def html_verses(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
 def packed_instruction(c: Column) -> Column:
     """``### Instruction / Input / Response`` text as a struct, with ``kind``: parallel if it asks to translate."""
-    part = lambda name: F.nullif(F.trim(F.regexp_extract(c, rf"(?s)###\s*{name}:?\s*(.*?)(?=###|$)", 1)), F.lit(""))
+    part = lambda name: F.nullif(T.strip(F.regexp_extract(c, rf"(?s)###\s*{name}:?\s*(.*?)(?=###|$)", 1)), F.lit(""))
     kind = F.when(part("Instruction").rlike("(?i)translat"), "parallel").when(part("Response").isNotNull(), "instruction")
     return F.struct(part("Instruction").alias("instruction"), part("Input").alias("input"), part("Response").alias("output"), kind.alias("kind"))
 
