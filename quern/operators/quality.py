@@ -33,10 +33,16 @@ def language_id(c: Column) -> Column:
     return F.when(F.length(c) == 0, 0.0).otherwise(F.least(score, F.lit(1.0)))
 
 
-def entropies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Character entropy of each text in bits; one row per id, from counts of characters (map-side combined)."""
-    c = df.select(id_col, F.explode(F.split(F.lower(text_col), "")).alias("c")).where("c <> ''").groupBy(id_col, "c").agg(F.count(F.lit(1)).alias("n"))
-    return c.groupBy(id_col).agg((F.log2(F.sum("n")) - F.sum(F.col("n") * F.log2("n")) / F.sum("n")).alias("entropy"))
+def entropy(low: Column) -> Column:
+    """Character entropy of a lower-cased text in bits, 0 if empty.
+
+    Each distinct character is counted by what its removal takes off the length: no row per
+    character and no shuffle, and the work is linear in the text for the few characters it has.
+    """
+    chars = F.filter(F.array_distinct(F.split(low, "")), lambda c: c != "")
+    counts = F.transform(chars, lambda c: (F.length(low) - F.length(F.replace(low, c, F.lit("")))).cast("double"))
+    n = F.greatest(F.length(low), F.lit(1))
+    return F.log2(n.cast("double")) - F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * F.log2(c)) / n
 
 
 def word_repetition(ws: Column) -> Column:
@@ -60,10 +66,10 @@ def features(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     t = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     t = t.withColumn("_w", T.words(F.col("_t"))).withColumn("_l", T.words(F.lower("_t")))
     n = F.greatest(F.size("_l"), F.lit(1))
-    e = entropies(t, id_col, "_t")
-    t = t.select(
+    low = t.select("*", F.lower("_t").alias("_low"))
+    perplexity = F.when(F.length("_t") < 10, 1.0).otherwise(F.least(entropy(F.col("_low")) / 6.0, F.lit(1.0)))
+    return low.select(
         id_col,
-        F.length("_t").alias("_len"),
         F.size("_w").alias("word_count"),
         char_repetition(F.col("_t")).alias("char_repetition"),
         word_repetition(F.col("_w")).alias("word_repetition"),
@@ -71,9 +77,8 @@ def features(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         (T.member_count(F.col("_l"), rules.STOPWORDS) / n).alias("stopwords"),
         language_id(F.col("_t")).alias("language_id"),
         (T.member_count(F.col("_l"), rules.DENIED_FORMS) / n).alias("flagged_words"),
+        perplexity.alias("perplexity"),
     )
-    perplexity = F.when(F.col("_len") < 10, 1.0).otherwise(F.least(F.coalesce("entropy", F.lit(0.0)) / 6.0, F.lit(1.0)))
-    return t.join(e, id_col, "left").withColumn("perplexity", perplexity).drop("_len", "entropy")
 
 
 def score() -> Column:

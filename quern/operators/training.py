@@ -53,22 +53,28 @@ def both_ways(df: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
     return df.where(~T.blank(F.col(own)) & ~T.blank(F.col(other))).select(id_col, F.explode(two).alias("x")).select(id_col, "x.*")
 
 
-def digest_rank(df: DataFrame, key: Column, tie: str, seed: str = "42") -> DataFrame:
-    """``df`` with ``rank``: the 1-based position by the seeded digest of ``key``, over the whole table."""
-    d = df.withColumn("_d", F.md5(F.concat(F.lit(seed), key.cast("string")))).withColumn("_r", F.substring("_d", 1, 3))
-    sizes = d.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))  # at most 4096 rows
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_r", before.alias("_before"))
+def digest_rank(df: DataFrame, key: Column, tie: str, seed: str = "42") -> tuple[DataFrame, int]:
+    """(``df`` with ``rank``, its number of rows): the 1-based position by the seeded digest of ``key``, over the whole table.
+
+    The sizes of at most 4096 digest ranges go over the driver; ``df`` is read twice, so an
+    expensive one should be cut off first.
+    """
+    d = df.withColumn("_d", F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit(""))))).withColumn("_r", F.substring("_d", 1, 3))
+    sizes = {r["_r"]: r["count"] for r in d.groupBy("_r").count().collect()}
+    before, total = [], 0
+    for r in sorted(sizes):
+        before.append((r, total))
+        total += sizes[r]
+    offsets = df.sparkSession.createDataFrame(before, "_r string, _before bigint")
     inner = d.withColumn("_i", F.row_number().over(Window.partitionBy("_r").orderBy("_d", tie)))
-    return inner.join(F.broadcast(offsets), "_r").withColumn("rank", F.col("_i") + F.col("_before")).drop("_d", "_r", "_i", "_before")
+    return inner.join(F.broadcast(offsets), "_r").withColumn("rank", F.col("_i") + F.col("_before")).drop("_d", "_r", "_i", "_before"), total
 
 
 def split(df: DataFrame, key: str, test: float = 0.1, val: float = 0.1, least_test: int = 0, least_val: int = 0, seed: str = "42") -> DataFrame:
     """``df`` with ``split``: exact sizes max(least, floor(n * share)), the rest train; at most all rows."""
-    n = df.count()
+    r, n = digest_rank(df, F.col(key), key, seed)
     n_test = min(n, max(least_test, int(n * test)))
     n_val = min(n - n_test, max(least_val, int(n * val)))
-    r = digest_rank(df, F.col(key), key, seed)
     return r.withColumn("split", F.when(F.col("rank") <= n_test, "test").when(F.col("rank") <= n_test + n_val, "val").otherwise("train")).drop("rank")
 
 

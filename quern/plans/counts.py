@@ -9,7 +9,7 @@ from quern.functions import rules
 from quern.functions import text as T
 from quern.operators import stats
 from quern.plans.registry import query
-from quern.session import table
+from quern.session import table, texts
 
 A = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')"
 VERSE_W = f"SELECT id, book, chapter, unnest({A.format('zolai_text')}) AS word FROM bible_verses_enhanced"
@@ -17,7 +17,7 @@ DOC_W = f"SELECT doc_id, lang, source, unnest({A.format('text')}) AS word FROM d
 
 
 def _verses(spark, d):
-    return table(spark, d, "bible_verses_enhanced").select("id", "book", "chapter", "verse", "zolai_text", "english_text")
+    return texts(spark, d, "bible_verses_enhanced", "id", "book", "chapter", "verse", "zolai_text", "english_text")
 
 
 
@@ -28,7 +28,7 @@ def _z():
 @query(f"SELECT word, count(*) AS n, count(DISTINCT doc_id) AS n_docs, word IN {rules.sql_list(rules.STOPWORDS)} AS is_stop FROM ({DOC_W}) GROUP BY 1")
 def doc_word_freq(spark, d):
     """G1."""
-    c = stats.doc_counts(table(spark, d, "documents"), "doc_id", T.tokens(F.col("text"), "alpha"))
+    c = stats.doc_counts(texts(spark, d, "documents", "doc_id", "text"), "doc_id", T.tokens(F.col("text"), "alpha"))
     return c.select("word", "n", "n_docs", F.col("word").isin(rules.STOPWORDS).alias("is_stop"))
 
 
@@ -64,7 +64,7 @@ SELECT lang, word, n_docs FROM c JOIN t USING (word) WHERE n_docs >= 5 AND a - n
 )
 def lang_specific_words(spark, d):
     """G5."""
-    return stats.specific_words(table(spark, d, "documents").where("lang IS NOT NULL"), "lang", "doc_id", T.tokens(F.col("text"), "alpha"))
+    return stats.specific_words(texts(spark, d, "documents", "doc_id", "lang", "text").where("lang IS NOT NULL"), "lang", "doc_id", T.tokens(F.col("text"), "alpha"))
 
 
 @query(
@@ -73,7 +73,7 @@ SELECT gram, count(*) AS n FROM g GROUP BY 1 HAVING count(*) >= 3"""
 )
 def doc_bigrams(spark, d):
     """G6, D25."""
-    return stats.ngram_counts(table(spark, d, "documents"), T.tokens(F.col("text"), "alpha"), 2).where("n >= 3")
+    return stats.ngram_counts(texts(spark, d, "documents", "doc_id", "text"), T.tokens(F.col("text"), "alpha"), 2).where("n >= 3")
 
 
 @query(
@@ -150,7 +150,7 @@ def topic_scores(spark, d):
     """The topic with the highest share of its keywords."""
     w = F.array_distinct(T.tokens(F.col("text"), "alpha"))
     scores = F.array(*[F.struct((F.size(F.array_intersect(w, F.array(*[F.lit(x) for x in k]))) / len(k)).alias("ratio"), F.lit(t).alias("topic")) for t, k in sorted(rules.TOPICS.items())])
-    s = table(spark, d, "documents").select("doc_id", F.explode(scores).alias("s")).where("s.ratio > 0")
+    s = texts(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(scores).alias("s")).where("s.ratio > 0")
     m = s.groupBy("doc_id").agg(F.min(F.struct(-F.col("s.ratio"), F.col("s.topic").alias("topic"))).alias("m"))
     return m.select("doc_id", F.col("m.topic").alias("topic"), F.round(-F.col("m.col1"), 6).alias("ratio"))
 

@@ -8,7 +8,7 @@ from quern.functions import rules
 from quern.functions import text as T
 from quern.operators import patterns, quality
 from quern.plans.registry import query
-from quern.session import table
+from quern.session import table, texts
 
 W = "list_filter(string_split_regex(coalesce({0}, ''), '\\s+'), lambda w: w <> '')"
 A = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')"
@@ -33,8 +33,7 @@ f AS (SELECT w.doc_id, len(w) AS word_count, CASE WHEN len(w) < 3 THEN 0 ELSE co
 
 
 def _features(spark, d):
-    f = quality.features(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
-    return f
+    return quality.features(texts(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 NAMES = ["char_repetition", "word_repetition", "special_chars", "stopwords", "language_id", "flagged_words", "perplexity"]
@@ -77,7 +76,7 @@ k AS (SELECT id, len(list_filter(z, lambda x: x IN {_L(sorted(rules.FORBIDDEN))}
 )
 def sentence_scores(spark, d):
     """J10, J11, J17, J18."""
-    v = table(spark, d, "bible_verses_enhanced")
+    v = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "english_text")
     return v.select("id", quality.sentence_score(F.coalesce("zolai_text", F.lit("")), F.coalesce("english_text", F.lit(""))).alias("s")).select("id", "s.*")
 
 

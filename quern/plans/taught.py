@@ -9,7 +9,7 @@ from quern.operators import filters, quality, search, training
 from quern.plans.registry import query
 from quern.plans.scored import _FEATURES, _SCORE
 from quern.plans.texts import _REASON
-from quern.session import table
+from quern.session import cut_lineage, table, texts
 
 OK = "trim(coalesce(zolai_text, '')) NOT IN ('', '-') AND trim(coalesce(english_text, '')) NOT IN ('', '-')"
 W = "list_filter(string_split_regex(coalesce({0}, ''), '\\s+'), lambda w: w <> '')"
@@ -147,10 +147,12 @@ SELECT doc_id, source, lang, score, CASE WHEN rk <= floor(n * 0.1) THEN 'test' W
 )
 def corpus_build(spark, d):
     """Flagship: clean with reasons, de-duplicate, score, keep, split."""
-    docs = table(spark, d, "documents").select("doc_id", "source", "lang", "dialect", "text")
+    docs = texts(spark, d, "documents", "doc_id", "source", "lang", "dialect", "text")
     kept = filters.clean_with_reasons(docs, "doc_id", "text", "dialect").where("reason = 'kept'").select("doc_id", "source", "lang")
-    scores = quality.features(docs.select("doc_id", "text"), "doc_id", "text").select("doc_id", F.round(quality.score(), 5).alias("score"))
-    return training.split(kept.join(scores, "doc_id").where("score >= 0.4"), "doc_id").select("doc_id", "source", "lang", "score", "split")
+    # stored before it is filtered: a filter pushed below the score would compute every feature twice
+    scores = cut_lineage(quality.features(docs.select("doc_id", "text"), "doc_id", "text").select("doc_id", F.round(quality.score(), 5).alias("score")))
+    scored = cut_lineage(kept.join(scores, "doc_id").where("score >= 0.4"))
+    return training.split(scored, "doc_id").select("doc_id", "source", "lang", "score", "split")
 
 
 @query("WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}]+')) AS w FROM documents) SELECT doc_id AS id, count(*)::BIGINT AS score FROM t WHERE w IN ('maize', 'school') GROUP BY 1 HAVING count(DISTINCT w) = 2")

@@ -8,7 +8,7 @@ from quern.functions import rules
 from quern.functions import text as T
 from quern.operators import filters
 from quern.plans.registry import query
-from quern.session import table
+from quern.session import table, texts
 
 STOP = rules.sql_array(rules.STOPWORDS)
 ENDINGS = rules.sql_list(rules.VERB_ENDINGS)
@@ -29,7 +29,7 @@ def ws(c: str) -> str:
 FROM documents"""
 )
 def text_clean(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("cleaned"), T.deep_clean(F.col("text")).alias("deep"), T.strip_markup(F.col("text")).alias("bare"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", T.clean_text(F.col("text")).alias("cleaned"), T.deep_clean(F.col("text")).alias("deep"), T.strip_markup(F.col("text")).alias("bare"))
 
 
 @query(
@@ -103,7 +103,7 @@ def token_counts(spark, d):
     t = F.col("text")
     kinds = ["latin", "latin2", "ext", "alpha", "word", "ascii", "space"]
     cols = [F.size(T.tokens(t, k)).alias(k) for k in kinds]
-    return table(spark, d, "documents").select("doc_id", *cols, F.size(T.content_words(T.tokens(t, "ext"))).alias("content"), T.token_estimate(t).alias("token_estimate"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", *cols, F.size(T.content_words(T.tokens(t, "ext"))).alias("content"), T.token_estimate(t).alias("token_estimate"))
 
 
 @query(
@@ -150,7 +150,7 @@ def document_labels(spark, d):
     """C36, C37, C41-C43."""
     t = F.col("text")
     kinds = [("news", "news"), ("song", "song"), ("school", "lesson")]
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents", "doc_id", "source", "text").select(
         "doc_id",
         T.by_substring(F.coalesce("source", F.lit("")), kinds, "corpus").alias("source_type"),
         T.level_by_complexity(t).alias("level"),
@@ -180,7 +180,7 @@ FROM x"""
 )
 def verse_rewrites(spark, d):
     """C19-C21."""
-    v = table(spark, d, "bible_verses_enhanced").where("zolai_text IS NOT NULL").select("id", T.words(F.col("zolai_text")).alias("w"))
+    v = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "english_text").where("zolai_text IS NOT NULL").select("id", T.words(F.col("zolai_text")).alias("w"))
     w = F.col("w")
     return v.select("id", F.array_join(T.drop_repeats(w), " ").alias("no_repeats"), F.array_join(T.end_with_verb(w), " ").alias("ended"), F.array_join(T.verb_last(w), " ").alias("verb_last"))
 
@@ -202,7 +202,7 @@ SELECT d.doc_id, coalesce(fixed, '') AS fixed, coalesce(n_fixed, 0) AS n_fixed F
 )
 def form_replacement(spark, d):
     """C17, C18 with a rule table as parameter, and how many words it changed."""
-    t = table(spark, d, "documents")
+    t = texts(spark, d, "documents", "doc_id", "text")
     cores = F.transform(T.words(F.col("text")), lambda w: F.lower(F.regexp_extract(w, r"^([^\p{L}\p{N}]*)(.*?)([^\p{L}\p{N}]*)$", 2)))
     return t.select("doc_id", T.replace_forms(F.col("text"), FORMS).alias("fixed"), T.member_count(cores, sorted(FORMS)).cast("bigint").alias("n_fixed"))
 
@@ -249,7 +249,7 @@ FROM t"""
 )
 def document_flags(spark, d):
     """D1-D16, D24, D28 as boolean columns of one pass."""
-    return table(spark, d, "documents").select("doc_id", *filters.flags(F.col("text"), F.col("dialect")))
+    return texts(spark, d, "documents", "doc_id", "text", "dialect").select("doc_id", *filters.flags(F.col("text"), F.col("dialect")))
 
 
 _REASON = rf"""WITH t AS (SELECT doc_id, text, trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) AS s, dialect FROM documents),
@@ -261,13 +261,13 @@ k AS (SELECT doc_id, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION B
 @query(_REASON + "SELECT doc_id, reason FROM k")
 def clean_reasons(spark, d):
     """The first reason that drops a record, in order, duplicates among the rest last."""
-    return filters.clean_with_reasons(table(spark, d, "documents"), "doc_id", "text", "dialect").select("doc_id", "reason")
+    return filters.clean_with_reasons(texts(spark, d, "documents", "doc_id", "text", "dialect"), "doc_id", "text", "dialect").select("doc_id", "reason")
 
 
 @query(_REASON + "SELECT reason, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM k GROUP BY 1")
 def clean_summary(spark, d):
     """D4, G31."""
-    return filters.reason_summary(filters.clean_with_reasons(table(spark, d, "documents"), "doc_id", "text", "dialect"))
+    return filters.reason_summary(filters.clean_with_reasons(texts(spark, d, "documents", "doc_id", "text", "dialect"), "doc_id", "text", "dialect"))
 
 
 @query(
@@ -278,7 +278,7 @@ SELECT id, CASE WHEN zo IN ('', '-') OR en IN ('', '-') THEN 'empty' WHEN lower(
 )
 def pair_reasons(spark, d):
     """Why a translation pair is dropped."""
-    t = table(spark, d, "bible_verses_enhanced")
+    t = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "english_text")
     return t.select("id", filters.pair_reason(F.col("zolai_text"), F.col("english_text")).alias("reason"))
 
 
@@ -304,4 +304,4 @@ FROM (SELECT doc_id, text, len(a) AS n, {_LANG} FROM (SELECT doc_id, coalesce(te
 )
 def purity_classes(spark, d):
     """D7, D27, D30."""
-    return table(spark, d, "documents").select("doc_id", filters.purity(F.col("text")).alias("purity"))
+    return texts(spark, d, "documents", "doc_id", "text").select("doc_id", filters.purity(F.col("text")).alias("purity"))

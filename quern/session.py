@@ -29,6 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where a small table has fewer splits than there are cores.
+
+    A table with as many splits as cores is left alone, so nothing large is ever shuffled by this.
+    Select the needed columns first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The given columns of a table, for work that costs CPU per row."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

@@ -113,7 +113,7 @@ def test_split_sizes(spark):
     assert n == {"test": 100, "val": 100, "train": 803}
     tiny = {r.split: r["count"] for r in training.split(df.limit(3), "k", least_test=500, least_val=1000).groupBy("split").count().collect()}
     assert tiny == {"test": 3}
-    ranks = [r.rank for r in training.digest_rank(df, F.col("k"), "k").collect()]
+    ranks = [r.rank for r in training.digest_rank(df, F.col("k"), "k")[0].collect()]
     assert sorted(ranks) == list(range(1, 1004))
 
 
