@@ -34,7 +34,7 @@ def _duck(tmp: str, memory_mb: int):
 def _partial(con, chunk: pa.Table) -> pa.Table:
     """Occurrences and rows of each term of a chunk (field_name, value, is_text)."""
     con.register("chunk", chunk)
-    got = con.execute(
+    got = con.sql(
         f"""
         WITH r AS (
           SELECT field_name, row_number() OVER () AS rid,
@@ -51,7 +51,7 @@ def _partial(con, chunk: pa.Table) -> pa.Table:
 
 def _merge(con, source) -> pa.Table:
     con.register("part", source)
-    got = con.execute("SELECT field_name, term, sum(occurrences)::BIGINT AS occurrences, sum(n_rows)::BIGINT AS n_rows FROM part GROUP BY ALL").to_arrow_table()
+    got = con.sql("SELECT field_name, term, sum(occurrences)::BIGINT AS occurrences, sum(n_rows)::BIGINT AS n_rows FROM part GROUP BY ALL").to_arrow_table()
     con.unregister("part")
     return got.cast(PARTIAL)
 
@@ -111,7 +111,7 @@ class RadixSpill:
             return
         con.register("held", pa.Table.from_batches(held, PARTIAL))
         shift = BITS * (level + 1)
-        got = con.execute(
+        got = con.sql(
             f"SELECT *, ((hash(field_name, term) >> {64 - shift}) & {2**BITS - 1})::INTEGER AS slot FROM held ORDER BY slot"
         ).to_arrow_table()
         con.unregister("held")

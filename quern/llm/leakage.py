@@ -122,18 +122,18 @@ class TemplateIndex:
 
 
 def find_leaks(
-    docs: DataFrame, items: DataFrame, window: int = 12, units: frozenset = UNITS, block_mb: int = 16, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage"
+    docs: DataFrame, items: DataFrame, window: int = 12, units: frozenset = UNITS, block_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage"
 ) -> DataFrame:
     """``doc_id, item_id, exact, n_windows, first_word, last_word`` for each document and item that hit.
 
     ``exact``: the document's words hold ``window`` successive words of the passage, or all of a
     shorter one; else only its template does. NULL or empty passages and texts, and NULL ids, never hit; repeated rows give repeated hits. Words are
-    numbered from 1. The held-out side is measured first; beyond ``block_mb`` megabytes of passages
+    numbered from 1. The held-out side is measured first; beyond ``block_bytes`` of passages
     it is taken in blocks, each compared with all documents, so that no task holds more than that.
     """
     items = items.where(F.col(passage_col).isNotNull() & F.col(item_col).isNotNull()).select(F.col(item_col).cast("bigint").alias("item_id"), F.col(passage_col).alias("passage"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("passage")), F.lit(0))).first()[0]
-    blocks = 1 + size // (block_mb << 20)
+    blocks = 1 + size // block_bytes
     spark = docs.sparkSession
     docs = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 

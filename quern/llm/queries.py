@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import frequency, language, leakage, lookalikes, mixing, neardup, spans, survivors
-from quern.session import table
+from quern.session import spread, table, texts
 
 Q: dict = {}
 
@@ -53,34 +53,34 @@ def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return spans.shared_spans(table(spark, d, "documents"))
+    return spans.shared_spans(texts(spark, d, "documents", "doc_id", "text"))
 
 
 @query
 def p9_share(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
+    docs = texts(spark, d, "documents", "doc_id", "text")
     return spans.shared_share(docs, spans.shared_spans(docs))
 
 
 @query
 def p9_lines(spark: SparkSession, d: str) -> DataFrame:
-    return spans.repeated_lines(table(spark, d, "documents"))
+    return spans.repeated_lines(texts(spark, d, "documents", "doc_id", "text"))
 
 
 @query
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).where("exact").select("doc_id", "item_id")
+    return leakage.find_leaks(texts(spark, d, "documents", "doc_id", "text"), table(spark, d, "eval_items")).where("exact").select("doc_id", "item_id")
 
 
 @query
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.find_leaks(texts(spark, d, "documents", "doc_id", "text"), table(spark, d, "eval_items"))
 
 
 def _near3(spark, d):
-    texts = table(spark, d, "zolai_songs").select(F.lit("zolai_songs").alias("part"), "id", "text")
-    texts = texts.unionAll(table(spark, d, "articles").select(F.lit("articles").alias("part"), "id", F.col("content").alias("text")))
-    return neardup.similar_pairs(texts, 0.5, 3, 10, part_col="part")
+    both = table(spark, d, "zolai_songs").select(F.lit("zolai_songs").alias("part"), "id", "text")
+    both = both.unionAll(table(spark, d, "articles").select(F.lit("articles").alias("part"), "id", F.col("content").alias("text")))
+    return neardup.similar_pairs(spread(both), 0.5, 3, 10, part_col="part")
 
 
 @query
@@ -95,7 +95,7 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mix(spark, d):
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    return mixing.mix(texts(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
 
 
 @query
@@ -109,7 +109,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _canonical(spark, d, keep_clean):
-    vocabulary, verses = table(spark, d, "zolai_vocabulary"), table(spark, d, "bible_verses_enhanced")
+    vocabulary, verses = table(spark, d, "zolai_vocabulary"), texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "myanmar_text")
     fields = [("zolai_vocabulary", "zolai", vocabulary), ("bible_verses_enhanced", "zolai_text", verses), ("bible_verses_enhanced", "myanmar_text", verses)]
     return lookalikes.canonicalise(fields, [(vocabulary, "zolai"), (vocabulary, "myanmar")], keep_clean=keep_clean)
 
@@ -127,7 +127,7 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
 def _passages(spark, d):
     articles, labels = table(spark, d, "articles"), table(spark, d, "language_labels")
     labelled = articles.select("id", language.stated(F.col("language"), labels).alias("lang"), F.col("content").alias("text"))
-    return articles, labels, language.passages(articles, language.fit(table(spark, d, "language_samples"), labelled))
+    return articles, labels, language.passages(texts(spark, d, "articles", "id", "content"), language.fit(table(spark, d, "language_samples"), labelled))
 
 
 @query

@@ -327,10 +327,8 @@ def test_leaks(spark):
     df = spark.createDataFrame([(a, b, 7, 1) for a, b in docs], "doc_id long, text string, item_id int, passage int")
     ev = spark.createDataFrame([(a, b, "c") for a, b in items], "item_id long, passage string, doc_id string")
     want = brute_leaks(docs, items)
-    for mb in (16, 0):
-        if mb == 0:
-            continue
-        got = {(r.doc_id, r.item_id) for r in leakage.find_leaks(df, ev, block_mb=mb).where("exact").collect()}
+    for size in (16 << 20, 1000):  # in one block, and in several
+        got = {(r.doc_id, r.item_id) for r in leakage.find_leaks(df, ev, block_bytes=size).where("exact").collect()}
         assert got == want
     assert leakage.find_leaks(df.limit(0), ev).count() == 0
     assert leakage.find_leaks(df, ev.limit(0)).count() == 0
