@@ -28,10 +28,10 @@ def messages(user: Column, assistant: Column) -> Column:
     return F.array(turn("user", user), turn("assistant", assistant))
 
 
-def render(kind: Column, own: Column, other: Column) -> Column:
+def render(kind: Column, own: Column, other: Column, names: tuple[str, str] = ("Source", "English")) -> Column:
     """One training text by record type; NULL where a needed field is missing."""
     return (
-        F.when(kind == "parallel", F.concat(F.lit("Zolai: "), own, F.lit("\nEnglish: "), other))
+        F.when(kind == "parallel", F.concat(F.lit(f"{names[0]}: "), own, F.lit(f"\n{names[1]}: "), other))
         .when(kind == "dictionary", F.concat(own, F.lit(" = "), other))
         .when(kind == "instruction", F.concat(F.lit("### Instruction:\n"), own, F.lit("\n### Response:\n"), other))
         .otherwise(own)

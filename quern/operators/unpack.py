@@ -143,6 +143,8 @@ def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
         low = np.array([np.min(total[a + 1 : b + 1]) - total[a] if o and c and not q else 0 for a, b, o, c, q in zip(first, last, opened, closed, quoted)])
         first = first + (~quoted & opened & ((net > 0) | (low > 0)))
         last = last - (~quoted & closed & ((net < 0) | (low > 0)))
+        whole = first <= last  # a piece of brackets alone is empty
+        first, last = first[whole], last[whole]
     keep_from = np.zeros(n + 1, np.int32)
     np.add.at(keep_from, first, 1)
     np.add.at(keep_from, last + 1, -1)

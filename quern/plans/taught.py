@@ -21,7 +21,7 @@ def _h(x: str) -> str:
 
 @query(
     f"""SELECT id, '<|im_start|>system\n{training.SYSTEM}<|im_end|>\n<|im_start|>user\n' || english_text || '<|im_end|>\n<|im_start|>assistant\n' || zolai_text || '<|im_end|>' AS chat,
- ['user: ' || english_text, 'assistant: ' || zolai_text] AS messages, 'Zolai: ' || zolai_text || '\nEnglish: ' || english_text AS rendered,
+ ['user: ' || english_text, 'assistant: ' || zolai_text] AS messages, 'Source: ' || zolai_text || '\nEnglish: ' || english_text AS rendered,
  ['Translate.', 'Put into English.', 'What does it say?'][{_h('id')} % 3 + 1] AS prompt FROM bible_verses_enhanced WHERE {OK}"""
 )
 def chat_examples(spark, d):
