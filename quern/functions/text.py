@@ -329,3 +329,78 @@ def bump_version(c: Column) -> Column:
     """``vN`` or ``vN.m`` to the next whole version; anything else to ``v2.0``."""
     n = F.regexp_extract(c, r"^v([0-9]+)(\.[0-9]+)?$", 1)
     return F.coalesce(F.when(n != "", F.concat(F.lit("v"), (n.cast("int") + 1).cast("string"), F.lit(".0"))), F.lit("v2.0"))
+
+
+def level_cascade(ref: Column, source: Column, text: Column, by_book: dict[str, str], by_source: dict[str, str], patterns: list[tuple[str, str]], skip: list[str]) -> Column:
+    """SKIP for a listed dialect, else the level of the first book code in the reference, source key (both
+    compared in upper case), text pattern, and at last the word count."""
+    out = F.when(F.upper(ref).rlike("|".join(skip)), "SKIP") if skip else F.when(F.lit(False), "SKIP")
+    for book, level in by_book.items():
+        out = out.when(F.contains(F.upper(ref), F.lit(book)), level)
+    for key, level in by_source.items():
+        out = out.when(F.contains(F.upper(source), F.lit(key)), level)
+    for rx, level in patterns:
+        out = out.when(text.rlike(rx), level)
+    n = F.size(words(text))
+    return out.when(n > 20, "B1").when(n > 8, "A2").otherwise("A1")
+
+
+def level_by_frequency(n: Column, book_no: Column) -> Column:
+    """By frequency or the place of the first book."""
+    return F.when((n > 5000) | (book_no <= 5), "A1").when(n > 1000, "A2").when(n > 100, "B1").when(n > 10, "B2").when(n > 1, "C1").otherwise("C2")
+
+
+def marker_class(ws: Column, markers: dict[str, list[str]], default: str = "general") -> Column:
+    """The class with most marker words; ties to the smaller name; the default without any."""
+    scored = F.array(*[F.struct((-member_count(ws, ms)).alias("s"), F.lit(k).alias("name")) for k, ms in sorted(markers.items())])
+    best = F.array_min(scored)
+    return F.when(best["s"] < 0, best["name"]).otherwise(default)
+
+
+def conversation_label(c: Column) -> Column:
+    """Greeting, question, exclamation, request, self or statement, the first that fits."""
+    t = F.lower(c)
+    return (
+        F.when(t.rlike(r"^(hello|damna|zingsang)( |$)"), "greeting").when(t.rlike(r"(\?|(^| )hiam[.?!]*)$"), "question").when(t.rlike("!$"), "exclamation")
+        .when(t.rlike(r"(^| )(in|un)[.]*$"), "request").when(t.rlike(r"^(ka|kei) "), "self").otherwise("statement")
+    )
+
+
+def envelope(sources: list[Column], version: str, made_at: Column) -> Column:
+    """Provenance as a struct; sources that are NULL are left out."""
+    return F.struct(F.array_compact(F.array(*sources)).alias("sources"), F.lit(version).alias("version"), made_at.alias("made_at"))
+
+
+def strip_controls(c: Column) -> Column:
+    """Control characters out, but line breaks and tabs."""
+    return F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
+
+
+def conditional_rewrite(c: Column, old: str, new: str, marker: str) -> Column:
+    """``old`` replaced only in texts that hold the marker pattern."""
+    return F.when(c.rlike(marker), F.replace(c, F.lit(old), F.lit(new))).otherwise(c)
+
+
+def lyric_lines(c: Column, title: Column, k: int = 3) -> Column:
+    """The first lines that are neither the title, a section header nor blank."""
+    ls = F.transform(F.split(c, "\n"), lambda x: F.trim(x))
+    return F.slice(F.filter(ls, lambda x: (x != "") & (F.lower(x) != F.lower(F.trim(title))) & ~x.rlike(r"(?i)^(verse|chorus|bridge)\b.*$")), 1, k)
+
+
+def script_senses(c: Column, sep: str = ";") -> Column:
+    """The senses of a packed gloss that hold Burmese script."""
+    return F.filter(F.transform(F.split(c, sep), lambda x: F.trim(x)), lambda x: x.rlike(MYANMAR))
+
+
+def json_answer(c: Column, keys: list[str]) -> Column:
+    """P5: the first JSON object of an answer, without code fences, as a struct of strings; NULL fields if there is none."""
+    body = F.regexp_extract(F.regexp_replace(c, r"```[a-z]*", ""), r"(?s)(\{.*?\})", 1)
+    return F.struct(*[F.get_json_object(body, f"$.{k}").alias(k) for k in keys])
+
+
+def bad_answer(c: Column, least: int = 8) -> Column:
+    """Too short, a verse reference, a bare name, a short lower-case phrase, or crawl metadata."""
+    t = F.trim(c)
+    return (
+        (F.length(t) < least) | t.rlike(r"^[0-9]+:[0-9]+") | t.rlike("^[A-Z][a-z]+ [A-Z][a-z]+$") | (t.rlike("^[a-z][a-z ]+$") & (F.length(t) < 30)) | t.rlike('"depth"\\s*:|"url"\\s*:|<[a-z]+>')
+    )

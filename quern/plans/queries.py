@@ -1,4 +1,4 @@
 """All core queries: importing the plan modules registers them."""
 
-from quern.plans import counts, dedups, joined, packed, scored, sourced, taught, texts  # noqa: F401
+from quern.plans import counts, dedups, joined, lexical, packed, scored, sourced, taught, texts  # noqa: F401
 from quern.plans.registry import Q  # noqa: F401

@@ -204,3 +204,29 @@ def test_empty_tables(spark):
     assert stats.association(e, T.tokens(F.col("text"), "alpha")).count() == 0
     assert training.split(e, "id").count() == 0
     assert search.tiered(e.select("id", F.col("zolai").alias("word"), F.col("english").alias("meaning")), e.select(F.col("text").alias("q"))).count() == 0
+
+
+def test_stages(spark, tmp_path):
+    from quern.plans.stages import run_stages
+
+    st = {"a": lambda s, read: s.range(3), "b": lambda s, read: read("a").where("id > 0")}
+    assert run_stages(spark, str(tmp_path), st) == {"a": "built", "b": "built"}
+    assert run_stages(spark, str(tmp_path), st) == {"a": "kept", "b": "kept"}
+    assert run_stages(spark, str(tmp_path), st, force=True, only="b") == {"a": "skipped", "b": "built"}
+    assert spark.read.parquet(str(tmp_path / "b")).count() == 2
+
+
+def test_lexicon_edges(spark):
+    from quern.operators import lexicon
+
+    v = spark.createDataFrame([(1, "a b", ["a", "b"]), (2, "a " * 6, ["a"] * 6), (3, None, []), (4, "a " * 8, ["a"] * 8)], "id long, text string, ws array<string>")
+    w = spark.createDataFrame([("a",), ("a",), ("x",), (None,)], "word string")
+    assert [(r.word, r.id) for r in lexicon.best_examples(w, v).collect()] == [("a", 2)]
+    assert [tuple(r) for r in lexicon.references(spark.createDataFrame([("a", 3), ("a", 1), ("a", 1), ("a", 2), ("a", 9)], "word string, id long")).collect()] == [("a", 5, [1, 2, 3])]
+    assert {(r.head, r.near): r.n for r in lexicon.contexts(v, F.col("ws"), ["b"]).collect()} == {("b", "a"): 1}
+    r = one(spark, 'Here:\n```json\n{"a": "x"}\n```', lambda c: T.json_answer(c, ["a", "b"]))
+    assert (r.a, r.b) == ("x", None)
+    assert one(spark, "no json", lambda c: T.json_answer(c, ["a"])).a is None
+    assert one(spark, "Title\n\nVerse 1\nka pai\nna pai", lambda c: T.lyric_lines(c, F.lit("title"))) == ["ka pai", "na pai"]
+    s = {r.id: r.score for r in lexicon.deep_scores(spark.createDataFrame([(1, ["a", "q"], "S-O", "S"), (2, [], "V", "V"), (3, ["q%d" % i for i in range(40)], "S", "S")], "id long, ws array<string>, structure string, core string"), w, spark.createDataFrame([("S-O", "S")], "structure string, core string")).collect()}
+    assert s == {1: 95, 2: 85, 3: 0}
