@@ -101,7 +101,7 @@ def quiz(df: DataFrame, id_col: str, word: str, answer: str, k: int = 3, seed: s
     no self-join, and the same options on every run. NULL or blank answers make no question.
     """
     q = df.where(~T.blank(F.col(answer)) & ~T.blank(F.col(word))).select(F.col(id_col).alias("id"), F.col(word).alias("word"), F.col(answer).alias("answer"))
-    q = q.withColumn("d", F.md5(F.concat(F.lit(seed), F.col("id").cast("string")))).withColumn("r", F.substring("d", 1, 2))
+    q = q.withColumn("d", F.md5(F.concat(F.lit(seed), F.col("id").cast("string")))).withColumn("r", F.substring("d", 1, 3))
     w = Window.partitionBy("r").orderBy("d", "id").rowsBetween(1, 2 * k)
     near = F.slice(F.array_except(F.array_distinct(F.collect_list("answer").over(w)), F.array("answer")), 1, k)
     return q.select("id", "word", "answer", near.alias("others")).select("id", "word", "answer", F.array_sort(F.concat(F.array("answer"), F.col("others"))).alias("options"))

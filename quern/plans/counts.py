@@ -226,7 +226,7 @@ def category_stats(spark, d):
     )
 
 
-@query("SELECT CASE WHEN confidence >= 0.8 THEN 0.8 WHEN confidence >= 0.6 THEN 0.6 WHEN confidence >= 0.4 THEN 0.4 WHEN confidence >= 0.2 THEN 0.2 WHEN confidence >= 0 THEN 0.0 END AS bin, count(*) AS n FROM dictionary_enhanced WHERE confidence IS NOT NULL GROUP BY 1")
+@query("SELECT (CASE WHEN confidence >= 0.8 THEN 0.8 WHEN confidence >= 0.6 THEN 0.6 WHEN confidence >= 0.4 THEN 0.4 WHEN confidence >= 0.2 THEN 0.2 WHEN confidence >= 0 THEN 0.0 END)::DOUBLE AS bin, count(*) AS n FROM dictionary_enhanced WHERE confidence IS NOT NULL GROUP BY 1")
 def confidence_histogram(spark, d):
     """G27, G28, C51."""
     return stats.histogram(table(spark, d, "dictionary_enhanced"), "confidence", [0.0, 0.2, 0.4, 0.6, 0.8])

@@ -70,7 +70,7 @@ def overwrite_pos(spark, d):
 _ALIGN = rf"""WITH l AS (SELECT word, list_sort(list_distinct(array_agg(m))) AS ms FROM (SELECT lower(trim(zolai)) AS word, lower(trim(english)) AS m FROM zolai_vocabulary WHERE NOT {b('english')} AND zolai IS NOT NULL) GROUP BY 1),
 v AS (SELECT id, {OWN.format('zolai_text')} AS own, regexp_extract_all(lower(coalesce(english_text, '')), '[a-z]+') AS other FROM bible_verses_enhanced WHERE zolai_text IS NOT NULL),
 w AS (SELECT id, other, unnest(list_distinct(own)) AS word FROM v),
-a AS (SELECT id, word, ms[1] AS meaning, coalesce(list_position(other, ms[1]), 0)::INT - 1 AS position, CASE WHEN coalesce(list_position(other, ms[1]), 0) = 0 THEN 0.5 WHEN len(ms) = 1 THEN 0.9 ELSE 0.7 END AS confidence FROM w JOIN l USING (word))"""
+a AS (SELECT id, word, ms[1] AS meaning, coalesce(list_position(other, ms[1]), 0)::INT - 1 AS position, CASE WHEN coalesce(list_position(other, ms[1]), 0) = 0 THEN 0.5::DOUBLE WHEN len(ms) = 1 THEN 0.9::DOUBLE ELSE 0.7::DOUBLE END AS confidence FROM w JOIN l USING (word))"""
 
 
 def _aligned(spark, d):

@@ -54,7 +54,7 @@ def quality_scores(spark, d):
     return s.select("doc_id", F.round("s", 5).alias("score"), (F.col("s") >= 0.5).alias("kept"))
 
 
-@query(f"WITH {_FEATURES}, s AS (SELECT {_SCORE} AS s FROM f) SELECT CASE WHEN s >= 0.8 THEN 0.8 WHEN s >= 0.6 THEN 0.6 WHEN s >= 0.4 THEN 0.4 WHEN s >= 0.2 THEN 0.2 ELSE 0.0 END AS bin, count(*) AS n FROM s GROUP BY 1")
+@query(f"WITH {_FEATURES}, s AS (SELECT {_SCORE} AS s FROM f) SELECT (CASE WHEN s >= 0.8 THEN 0.8 WHEN s >= 0.6 THEN 0.6 WHEN s >= 0.4 THEN 0.4 WHEN s >= 0.2 THEN 0.2 ELSE 0.0 END)::DOUBLE AS bin, count(*) AS n FROM s GROUP BY 1")
 def quality_histogram(spark, d):
     """G27, H13."""
     from quern.operators import stats

@@ -5,13 +5,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
-    return (
+    return ship(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -24,6 +26,20 @@ def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> Sp
     )
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per context, whatever their working folder and path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quern_shipped", None) is None:
+        root = Path(__file__).resolve().parent
+        zipped = Path(tempfile.mkdtemp(prefix="quern-code-")) / "quern.zip"
+        with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(zipped))
+        sc._quern_shipped = str(zipped)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` under ``sf_dir``; columns and filters reach the scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

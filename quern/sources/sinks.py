@@ -47,11 +47,12 @@ def append_once(new: DataFrame, path: str, key: str) -> int:
 
 def manifest(df: DataFrame, before: DataFrame, split_col: str) -> DataFrame:
     """One row: rows before, kept, removed share and the size of each split as JSON."""
-    splits = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
-    sizes = splits.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(split_col, "n"))))).alias("splits"), F.sum("n").alias("kept"))
-    total = before.agg(F.count(F.lit(1)).alias("total"))
-    one = total.join(sizes)  # one row each
-    return one.select("total", "kept", F.round(100.0 * (F.col("total") - F.col("kept")) / F.col("total"), 2).alias("removed_pct"), "splits")
+    splits = df.groupBy(F.col(split_col).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    parts = splits.select("k", "n", F.lit(0).cast("bigint").alias("t")).unionAll(before.agg(F.lit(None).cast("string").alias("k"), F.lit(None).cast("bigint").alias("n"), F.count(F.lit(1)).alias("t")))
+    # one row per split and one for all
+    named = F.filter(F.sort_array(F.collect_list(F.struct("k", "n"))), lambda x: x["k"].isNotNull())
+    one = parts.agg(F.sum("t").alias("total"), F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("kept"), F.to_json(F.map_from_entries(named)).alias("splits"))
+    return one.select("total", "kept", F.when(F.col("total") > 0, F.round(100.0 * (F.col("total") - F.col("kept")) / F.col("total"), 2)).alias("removed_pct"), "splits")
 
 
 def statistics(df: DataFrame, text_col: str, by: str) -> DataFrame:
