@@ -11,6 +11,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+LOCAL_MAP = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
+
 def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     return ship(
@@ -37,6 +40,9 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(str(zipped))
         sc._quern_shipped = str(zipped)
+        # joins whose measured hash tables are small in every partition need no sort (AQE decides)
+        if spark.conf.get(LOCAL_MAP, "0") in ("0", "0b"):
+            spark.conf.set(LOCAL_MAP, "32m")
     return spark
 
 
