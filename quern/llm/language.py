@@ -179,13 +179,14 @@ def fit(samples: DataFrame, labelled: DataFrame | None = None, sample_rows: int
     return Classifier({lang: clip(" ".join(more[lang]), dictionary_bytes - len(t.encode())) + " " + t for lang, t in base.items()})
 
 
-def stated(label: F.Column, labels: DataFrame) -> F.Column:
-    """The language that a label states, by a small table of labels; NULL if it states none."""
-    known = {r.label: r.lang for r in labels.where("label IS NOT NULL AND lang IS NOT NULL").limit(10_000).collect()}
-    if not known:
-        return F.lit(None).cast("string")
-    pairs = [x for k, v in sorted(known.items()) for x in (F.lit(k), F.lit(v))]
-    return F.create_map(*pairs)[F.lower(F.trim(F.regexp_replace(label, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")))]
+def with_stated(df: DataFrame, label_col: str, labels: DataFrame) -> DataFrame:
+    """``df`` with ``stated_lang``: the language that the trimmed, lower-cased label states; NULL if it states none.
+
+    ``labels``: ``label, lang``; of a label that stands twice the smaller language counts.
+    """
+    known = labels.where("label IS NOT NULL AND lang IS NOT NULL").groupBy(F.col("label").alias("_label")).agg(F.min("lang").alias("stated_lang"))
+    plain = F.lower(F.regexp_replace(F.col(label_col), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    return df.withColumn("_own", plain).join(known, F.col("_own") == F.col("_label"), "left").drop("_own", "_label")
 
 
 def passages(df: DataFrame, classifier: Classifier, id_col: str = "id", text_col: str = "content", least: int = 10, margin: float = 0.25) -> DataFrame:
@@ -215,7 +216,7 @@ def passages(df: DataFrame, classifier: Classifier, id_col: str = "id", text_col
     return given.mapInArrow(run, "id bigint, passage_no int, lang string, first_word int, last_word int, n_words int, confidence double")
 
 
-def documents(df: DataFrame, found: DataFrame, label: F.Column, labels: DataFrame, id_col: str = "id") -> DataFrame:
+def documents(df: DataFrame, found: DataFrame, labels: DataFrame, id_col: str = "id", label_col: str = "language") -> DataFrame:
     """``id, stated_lang, lang, confidence, share, n_langs`` of every document: the language of most words.
 
     ``share`` is that language's part of the classified words; a document without a classified
@@ -223,9 +224,8 @@ def documents(df: DataFrame, found: DataFrame, label: F.Column, labels: DataFram
     """
     per = found.where("lang IS NOT NULL").groupBy("id", "lang").agg(F.sum("n_words").alias("w"), F.sum(F.col("n_words") * F.col("confidence")).alias("c"))
     top = per.groupBy("id").agg(F.max(F.struct("w", F.col("c"), "lang")).alias("m"), F.sum("w").alias("all"), F.count(F.lit(1)).alias("n_langs"))
-    base = df.select(F.col(id_col).cast("bigint").alias("id"), stated(label, labels).alias("stated_lang"))
-    out = base.join(top, "id", "left")
-    return out.select(
+    base = with_stated(df.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).alias("label")), "label", labels)
+    return base.join(top, "id", "left").select(
         "id", "stated_lang", F.col("m.lang").alias("lang"), F.round(F.col("m.c") / F.col("m.w"), 4).alias("confidence"), F.round(F.col("m.w") / F.col("all"), 4).alias("share"),
         F.coalesce("n_langs", F.lit(0).cast("bigint")).alias("n_langs"),
     )

@@ -122,7 +122,7 @@ class TemplateIndex:
 
 
 def find_leaks(
-    docs: DataFrame, items: DataFrame, window: int = 12, units: frozenset = UNITS, block_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage"
+    docs: DataFrame, items: DataFrame, window: int = 12, units: frozenset = UNITS, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", passage_col: str = "passage"
 ) -> DataFrame:
     """``doc_id, item_id, exact, n_windows, first_word, last_word`` for each document and item that hit.
 

@@ -126,14 +126,14 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
 
 def _passages(spark, d):
     articles, labels = table(spark, d, "articles"), table(spark, d, "language_labels")
-    labelled = articles.select("id", language.stated(F.col("language"), labels).alias("lang"), F.col("content").alias("text"))
+    labelled = language.with_stated(articles.select("id", "language", F.col("content").alias("text")), "language", labels).withColumnRenamed("stated_lang", "lang")
     return articles, labels, language.passages(texts(spark, d, "articles", "id", "content"), language.fit(table(spark, d, "language_samples"), labelled))
 
 
 @query
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     articles, labels, found = _passages(spark, d)
-    said = articles.select("id", language.stated(F.col("language"), labels).alias("stated_lang"))
+    said = language.with_stated(articles.select("id", "language"), "language", labels)
     each = found.where("lang IS NOT NULL").select("id", "lang").distinct().join(said, "id")
     return each.where("stated_lang IS NULL OR stated_lang <> lang").select("id", "lang")
 
@@ -146,4 +146,4 @@ def p4_passages(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p4_documents(spark: SparkSession, d: str) -> DataFrame:
     articles, labels, found = _passages(spark, d)
-    return language.documents(articles, found, F.col("language"), labels)
+    return language.documents(articles, found, labels)

@@ -214,7 +214,7 @@ def test_language_frames(spark, classifier):
     labels = spark.createDataFrame([("en", "eng"), ("own", "own"), (None, "own"), ("bad", None)], "label string, lang string")
     found = language.passages(df, classifier)
     assert sorted((r.id, r.lang, r.n_words) for r in found.collect()) == [(1, "eng", 20), (4, "own", 20), (4, "own", 20_000)]
-    docs = {r.id: r for r in language.documents(df.limit(4), found, F.col("label"), labels).collect()}
+    docs = {r.id: r for r in language.documents(df.limit(4), found, labels, label_col="label").collect()}
     assert (docs[1].stated_lang, docs[1].lang, docs[2].stated_lang, docs[2].lang, docs[4].stated_lang) == ("eng", "eng", "own", None, None)
     assert language.passages(df.limit(0), classifier).count() == 0
     with pytest.raises(ValueError):
@@ -327,7 +327,7 @@ def test_leaks(spark):
     df = spark.createDataFrame([(a, b, 7, 1) for a, b in docs], "doc_id long, text string, item_id int, passage int")
     ev = spark.createDataFrame([(a, b, "c") for a, b in items], "item_id long, passage string, doc_id string")
     want = brute_leaks(docs, items)
-    for size in (16 << 20, 1000):  # in one block, and in several
+    for size in (4 << 20, 1000):  # in one block, and in several
         got = {(r.doc_id, r.item_id) for r in leakage.find_leaks(df, ev, block_bytes=size).where("exact").collect()}
         assert got == want
     assert leakage.find_leaks(df.limit(0), ev).count() == 0
