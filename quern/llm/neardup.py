@@ -73,22 +73,26 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
     ``part`` with a Jaccard similarity of at least ``threshold`` are linked; records with fewer
     than ``least_words`` or ``size`` words, NULL or empty texts and NULL ids belong to no class.
     """
-    docs = cut_lineage(shingle_sets(df, least_words, size, id_col, text_col, part_col))
-    reps = docs.groupBy("part", "key").agg(F.min(F.struct("id", "n", "sh")).alias("r"))
-    members = docs.select("part", "id", "key").join(reps.select("part", "key", F.col("r.id").alias("class_id")), ["part", "key"]).select("part", "id", "class_id").distinct()
-    reps = cut_lineage(reps.select("part", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sh").alias("sh")).withColumn("rid", F.monotonically_increasing_id()))
+    docs = cut_lineage(shingle_sets(df, least_words, size, id_col, text_col, part_col).withColumn("rid", F.monotonically_increasing_id()))
+    # classes by digest: ids and digests move, shingles don't; of rows that repeat an id with one text a single one stays
+    keys = docs.select("part", "id", "key", "rid")
+    firsts = keys.groupBy("part", "key").agg(F.min(F.struct("id", "rid")).alias("m"), F.count(F.lit(1)).alias("copies"))
+    members = keys.join(firsts.select("part", "key", F.col("m.id").alias("class_id")), ["part", "key"]).select("part", "id", "class_id").distinct()
+    several = firsts.where("copies > 1").select("part", "key", F.col("m.rid").alias("first"))
+    others = keys.join(several, ["part", "key"]).where("rid <> first").select("rid")
+    each = docs.join(others, "rid", "left_anti").select("rid", "n", F.explode("sh").alias("g"))
 
-    each = reps.select("rid", "n", F.explode("sh").alias("g"))
     df2 = each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     t = F.lit(threshold)
     need = F.ceil(t * F.col("n") - 1e-9)
     bits = [F.expr(f"bit_or(if(pmod(g, {64 * SUFFIX_WORDS}) div 64 = {k}, shiftleft(1L, cast(pmod(g, 64) AS int)), 0L))").alias(f"s{k}") for k in range(SUFFIX_WORDS)]
-    ranked = each.join(df2, "g").groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("o"), *bits)
-    # shingles that occur once come first and cannot match: they only move the positions
-    ranked = ranked.withColumn("m", F.size("o")).withColumn("once", F.col("n") - F.col("m")).withColumn("prefix", F.col("n") - need + 1 - F.col("once")).where("prefix > 0")
     sig = [f"s{k}" for k in range(SUFFIX_WORDS)]
-    post = ranked.select("rid", "n", "m", "once", *sig, F.posexplode(F.slice("o", F.lit(1), F.col("prefix").cast("int"))).alias("i", "x"))
-    post = cut_lineage(post.select(F.col("x.g").alias("g"), "rid", "n", "m", *sig, (F.col("once") + F.col("i")).alias("pos")))
+    # shingles that occur once come first and cannot match: they only move the positions
+    ranked = each.join(df2, "g").groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("o"), *bits)
+    ranked = ranked.select("rid", "n", *sig, F.transform("o", lambda x: x["g"]).alias("o")).withColumn("m", F.size("o"))
+    ranked = cut_lineage(ranked.withColumn("once", F.col("n") - F.col("m")).withColumn("prefix", F.col("n") - need + 1 - F.col("once")).where("prefix > 0"))
+    post = ranked.select("rid", "n", "m", "once", *sig, F.posexplode(F.slice("o", F.lit(1), F.col("prefix").cast("int"))).alias("i", "g"))
+    post = post.select("g", "rid", "n", "m", *sig, (F.col("once") + F.col("i")).alias("pos"))
     a, b = post.alias("a"), post.alias("b")
     overlap = F.ceil(t / (1 + t) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     length = F.least("a.n", "b.n") >= t * F.greatest("a.n", "b.n") - 1e-9
@@ -98,12 +102,14 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
     suffix = F.col("a.m") + F.col("b.m") - apart >= 2 * overlap
     cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.rid") < F.col("b.rid")) & length & position & suffix)
     pairs = cand.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
-    left = pairs.join(reps.select(F.col("rid").alias("a"), "part", F.col("rep").alias("ra"), F.col("sh").alias("sa")), "a")
-    both = left.join(reps.select(F.col("rid").alias("b"), F.col("rep").alias("rb"), F.col("sh").alias("sb")), "b")
-    both = both.withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    similarity = F.col("both") / (F.size("sa") + F.size("sb") - F.col("both"))
-    links = both.select("part", F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), similarity.alias("similarity")).where(F.col("similarity") >= t - 1e-12)
-    return members, links
+    # what two sets share occurs at least twice, so the shortened sets give the whole overlap
+    left = pairs.join(ranked.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("o").alias("oa")), "a")
+    both = left.join(ranked.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("o").alias("ob")), "b")
+    both = both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), F.size(F.array_intersect("oa", "ob")).alias("both"))
+    similar = both.withColumn("similarity", F.col("both") / (F.col("n") - F.col("both"))).where(F.col("similarity") >= t - 1e-12)
+    names = keys.select("rid", "part", "id")
+    named = similar.join(names.select(F.col("rid").alias("a"), "part", F.col("id").alias("ia")), "a").join(names.select(F.col("rid").alias("b"), F.col("id").alias("ib")), "b")
+    return members, named.select("part", F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b"), "similarity").where("a < b")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
