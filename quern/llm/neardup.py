@@ -79,7 +79,8 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
     firsts = keys.groupBy("part", "key").agg(F.min(F.struct("id", "rid")).alias("m"), F.count(F.lit(1)).alias("copies"))
     members = keys.join(firsts.select("part", "key", F.col("m.id").alias("class_id")), ["part", "key"]).select("part", "id", "class_id").distinct()
     several = firsts.where("copies > 1").select("part", "key", F.col("m.rid").alias("first"))
-    others = keys.join(several, ["part", "key"]).where("rid <> first").select("rid")
+    # stored, so that its size is known when the join with the sets is planned
+    others = cut_lineage(keys.join(several, ["part", "key"]).where("rid <> first").select("rid"))
     each = docs.join(others, "rid", "left_anti").select("rid", "n", F.explode("sh").alias("g"))
 
     df2 = each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
