@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,19 @@ def _duck(tmp: str, memory_mb: int):
     return duckdb.connect(config={"threads": 1, "memory_limit": f"{memory_mb}MB", "temp_directory": tmp, "preserve_insertion_order": False})
 
 
+def _special_case(chunk: pa.Table) -> pa.Table:
+    """Lower-cases in advance the rare values whose case depends on context (final sigma, dotted I)."""
+    values = chunk.column("value")
+    odd = pc.and_(chunk.column("is_text"), pc.or_(pc.match_substring(values, "Σ"), pc.match_substring(values, "İ")))
+    if not pc.any(odd).as_py():
+        return chunk
+    lowered = pa.array([v.lower() if o else v for v, o in zip(values.to_pylist(), odd.to_pylist())], pa.string())
+    return chunk.set_column(chunk.schema.get_field_index("value"), "value", lowered)
+
+
 def _partial(con, chunk: pa.Table) -> pa.Table:
     """Occurrences and rows of each term of a chunk (field_name, value, is_text)."""
+    chunk = _special_case(chunk)
     con.register("chunk", chunk)
     got = con.sql(
         f"""

@@ -238,7 +238,7 @@ def brute_terms(values):
 
 def test_term_frequency(spark):
     rng = random.Random(6)
-    values = [text(rng, rng.randint(0, 12)) for _ in range(300)] + [None, "", " ", "-", "Hot hot HOT", "ﬁ é é x-y 12", " ".join(f"u{i}" for i in range(20_000))]
+    values = [text(rng, rng.randint(0, 12)) for _ in range(300)] + [None, "", " ", "-", "Hot hot HOT", "ﬁ é é x-y 12", "ΛΌΓΟΣ λόγος İx", " ".join(f"u{i}" for i in range(20_000))]
     df = spark.createDataFrame([(v, "c", 5) for v in values], "v string, term string, n_rows int").repartition(5)
     got = {r.term: (r.occurrences, r.n_rows, r.mark) for r in frequency.term_frequency([("t.v", df, "v", True)]).collect()}
     assert got == brute_terms(values)
