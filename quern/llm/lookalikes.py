@@ -139,7 +139,9 @@ def by_table(token: str) -> str:
     if any(c in LATIN_LIKE for c in letters) and all(c in LATIN_LIKE or c.isascii() or unicodedata.name(c, "").startswith("LATIN") for c in letters):
         chars = [LATIN_LIKE.get(c, c)[0] for c in chars]
     unsure = [c in _LETTERS_OF or c in _DIGIT_OF for c in chars]
-    if not any(unsure) or all(u or not c.isalnum() for u, c in zip(unsure, chars)) and len({c.isdigit() for c in chars if c.isalnum()}) < 2:
+    marked = any(u and c.isdigit() and unicodedata.category(n)[0] == "M" for u, c, n in zip(unsure, chars, chars[1:]))
+    alike = all(u or not c.isalnum() for u, c in zip(unsure, chars)) and len({c.isdigit() for c in chars if c.isalnum()}) < 2
+    if not any(unsure) or alike and not marked:
         return unicodedata.normalize("NFC", "".join(chars))
     burmese = any("က" <= c <= "႟" for c in chars)
     out = chars[:]

@@ -64,7 +64,7 @@ def test_grams_and_minimum():
 
 LOOK = [
     ("Сuaiphuik", "Cuaiphuik"), ("λόγος", "λόγος"), ("мудрый", "мудрый"), ("1O3", "103"), ("covid10", "covid10"), ("A1", "A1"), ("thu​m­", "thum"),
-    ("a b　c", "a b c"), ("ｋｈｕｍ，", "khum,"), ("é", "é"), ("၀ိုးဗုင်", "ဝိုးဗုင်"), ("၉၄ဝ", "၉၄၀"), ("၁၀ရက်", "၁၀ရက်"), ("ဝ", "ဝ"), ("Plain  text", "Plain  text"), ("", ""),
+    ("a b　c", "a b c"), ("ｋｈｕｍ，", "khum,"), ("é", "é"), ("၀ိုးဗုင်", "ဝိုးဗုင်"), ("၉၄ဝ", "၉၄၀"), ("၁၀ရက်", "၁၀ရက်"), ("ဝ", "ဝ"), ("၀", "၀"), ("၀ိ", "ဝိ"), ("၇၀ိ", "ရဝိ"), ("Plain  text", "Plain  text"), ("", ""),
     ("န့်", "န့်"), ("tab\there", "tab here"),
 ]
 
