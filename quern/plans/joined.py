@@ -220,8 +220,8 @@ def meaning_variants(spark, d):
 @query("SELECT id, english AS old_value, 'house' AS new_value FROM dictionary_enhanced WHERE zolai LIKE 'k%' AND contains(english, 'hammer') AND english <> 'house'")
 def gloss_corrections(spark, d):
     """a correction table applied where the wrong gloss stands, as a change log."""
-    e = table(spark, d, "dictionary_enhanced").where("zolai LIKE 'k%'").select("id", F.lit("*").alias("word"), F.col("english").alias("value"))
-    return joins.correct_values(e, spark.createDataFrame([("*", "hammer", "house")], "word string, wrong string, right string"))
+    e = table(spark, d, "dictionary_enhanced").select("id", F.substring("zolai", 1, 1).alias("word"), F.col("english").alias("value"))
+    return joins.correct_values(e, spark.createDataFrame([("k", "hammer", "house")], "word string, wrong string, right string"))
 
 
 @query(
