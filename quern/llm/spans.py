@@ -82,13 +82,14 @@ def shared_spans(df: DataFrame, length: int = 50, gram: int = 25, id_col: str =
                 )
 
     # map-side combined: a hot anchor costs one row per task
-    several = lambda key, rows: rows.groupBy(key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select(key)
-    shared_anchors = several("anchor", docs.mapInArrow(anchors, "doc_id bigint, anchor bigint"))
+    several = lambda rows, *key: rows.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select(*key)
+    shared_anchors = several(docs.mapInArrow(anchors, "doc_id bigint, anchor bigint"), "anchor")
     filed = docs.mapInArrow(windows, "doc_id bigint, anchor bigint, first int, digests array<bigint>")
     # read twice below (grouped, and joined with the groups), so written once to shared storage
-    near = cut_lineage(filed.join(shared_anchors, "anchor", "left_semi").select("doc_id", "first", "digests"))
-    single = near.select("doc_id", "first", F.posexplode("digests").alias("i", "digest")).select("doc_id", (F.col("first") + F.col("i")).alias("at"), "digest")
-    hits = single.join(several("digest", single), "digest", "left_semi").select("doc_id", "at")
+    near = cut_lineage(filed.join(shared_anchors, "anchor", "left_semi").select("doc_id", "anchor", "first", "digests"))
+    single = near.select("doc_id", "anchor", "first", F.posexplode("digests").alias("i", "digest")).select("doc_id", "anchor", (F.col("first") + F.col("i")).alias("at"), "digest")
+    # anchor and digest, 128 bits: of 10 ** 13 windows, 64 would make some look equal that aren't
+    hits = single.join(several(single, "anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc_id", "at")
     return _islands(hits, length)
 
 
