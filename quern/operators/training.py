@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
+from quern.session import cut_lineage
 
 SYSTEM = "You answer in the language of the question."
 
@@ -95,16 +96,18 @@ def stratified(df: DataFrame, stratum: str, key: str, n: dict[str, int], seed: s
 
 
 def quiz(df: DataFrame, id_col: str, word: str, answer: str, k: int = 3, seed: str = "42") -> DataFrame:
-    """``id, word, answer, options``: the answer and up to ``k`` others, drawn from answers near in digest order.
+    """``id, word, answer, options``: the answer and ``k`` others (all others, if there are fewer).
 
-    Every question takes the distinct answers that follow it on a ring within its own digest range:
-    no self-join, and the same options on every run. NULL or blank answers make no question.
+    The distinct answers are numbered by digest over the whole table; the ``k`` that follow on the ring of
+    numbers are an answer's others, the same on every run. NULL or blank answers make no question.
     """
     q = df.where(~T.blank(F.col(answer)) & ~T.blank(F.col(word))).select(F.col(id_col).alias("id"), F.col(word).alias("word"), F.col(answer).alias("answer"))
-    q = q.withColumn("d", F.md5(F.concat(F.lit(seed), F.col("id").cast("string")))).withColumn("r", F.substring("d", 1, 3))
-    w = Window.partitionBy("r").orderBy("d", "id").rowsBetween(1, 2 * k)
-    near = F.slice(F.array_except(F.array_distinct(F.collect_list("answer").over(w)), F.array("answer")), 1, k)
-    return q.select("id", "word", "answer", near.alias("others")).select("id", "word", "answer", F.array_sort(F.concat(F.array("answer"), F.col("others"))).alias("options"))
+    ranked, n = digest_rank(cut_lineage(q.select("answer").distinct()), F.col("answer"), "answer", seed)
+    at = ranked.select("answer", (F.col("rank") - 1).alias("i"))
+    steps = F.array(*[F.lit(s).cast("bigint") for s in range(1, min(k, n - 1) + 1)]).cast("array<bigint>")
+    others = at.select(F.col("answer").alias("other"), F.explode(F.transform(steps, lambda s: F.pmod(F.col("i") - s, F.lit(max(n, 1))))).alias("i")).groupBy("i").agg(F.collect_list("other").alias("others"))
+    given = at.join(others, "i", "left").select("answer", F.coalesce("others", F.array().cast("array<string>")).alias("others"))
+    return q.join(given, "answer").select("id", "word", "answer", F.array_sort(F.concat(F.array("answer"), F.col("others"))).alias("options"))
 
 
 def fill_blank(df: DataFrame, id_col: str, sentence: str, seed: str = "42") -> DataFrame:

@@ -124,6 +124,14 @@ def test_quiz_options_hold_the_answer(spark):
         assert len(set(r.options)) == len(r.options)
 
 
+@pytest.mark.parametrize(("answers", "others"), [(300, 3), (4, 3), (2, 1), (1, 0), (0, 0)])
+def test_quiz_has_all_distractors(spark, answers, others):
+    rows = [(i, f"w{i}", f"m{i}") for i in range(answers)] + [(1000 + i, f"x{i}", "m0") for i in range(50 if answers else 0)] + [(2000, "y", None), (2001, "y", " ")]
+    got = training.quiz(spark.createDataFrame(rows, "id long, w string, m string"), "id", "w", "m").collect()
+    assert sorted(r.id for r in got) == [i for i, _, m in rows if m and m.strip()]
+    assert all(r.answer in r.options and len(set(r.options)) == len(r.options) == others + 1 for r in got)
+
+
 def test_phrases_and_families(spark):
     t = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, ws array<string>")
     p = spark.createDataFrame([("a b",), ("b",), ("x",)], "phrase string")
