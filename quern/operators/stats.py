@@ -53,10 +53,11 @@ def association(df: DataFrame, ts: Column, least: int = 3) -> DataFrame:
     return j.select("first", "second", "n", (F.col("n") / (F.col("fx") * F.col("fy"))).alias("ratio"))
 
 
-def cooccurrence(df: DataFrame, key: str, ts: Column, most: int = 10) -> DataFrame:
-    """Pairs a < b among the first ``most`` (sorted, Q9) distinct words of a row, by group: at most
-    ``most`` choose 2 pairs a row, built within the row."""
-    w = df.select(key, F.slice(F.array_sort(F.array_distinct(ts)), 1, most).alias("w"))
+def cooccurrence(df: DataFrame, key: str, ts: Column, most: int | None = None) -> DataFrame:
+    """Pairs a < b of the distinct words of a row, by group, built within the row; with ``most``, only
+    of the first so many (sorted, Q9)."""
+    w = df.select(key, F.array_sort(F.array_distinct(ts)).alias("w"))
+    w = w.withColumn("w", F.slice("w", 1, most)) if most is not None else w
     pair = F.expr("flatten(transform(w, (x, i) -> transform(slice(w, i + 2, size(w)), y -> struct(x AS a, y AS b))))")
     return w.select(key, F.explode(pair).alias("p")).groupBy(key, "p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
 

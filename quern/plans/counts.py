@@ -9,6 +9,7 @@ from quern.functions import rules
 from quern.functions import text as T
 from quern.operators import stats
 from quern.plans.registry import query
+from quern.plans.texts import CONTENT_OUT
 from quern.session import table, texts
 
 A = "regexp_extract_all(lower(coalesce({0}, '')), '[a-z]+')"
@@ -102,8 +103,18 @@ p AS (SELECT book, w[i] AS a, unnest(w[i + 1:]) AS b FROM (SELECT book, w, unnes
 SELECT book, a, b, count(*) AS n FROM p GROUP BY 1, 2, 3 HAVING count(*) >= 2"""
 )
 def verse_cooccurrence(spark, d):
-    """G8, G12."""
-    return stats.cooccurrence(_verses(spark, d), "book", _z()).where("n >= 2")
+    """G8 narrowed: all tokens, the first ten of each verse; content_cooccurrence has all pairs."""
+    return stats.cooccurrence(_verses(spark, d), "book", _z(), 10).where("n >= 2")
+
+
+@query(
+    rf"""WITH v AS (SELECT book, list_sort(list_distinct(list_filter(regexp_extract_all(lower(coalesce(zolai_text, '')), '[a-zà-ɏ'']+|[,;:!.?-]+'), lambda t: t NOT IN {CONTENT_OUT} AND length(t) > 1 AND NOT regexp_matches(t, '^[,;:!.?]')))) AS w FROM bible_verses_enhanced),
+p AS (SELECT book, w[i] AS a, unnest(w[i + 1:]) AS b FROM (SELECT book, w, unnest(range(1, len(w))) AS i FROM v))
+SELECT book, a, b, count(*) AS n FROM p GROUP BY 1, 2, 3"""
+)
+def content_cooccurrence(spark, d):
+    """All pairs of a verse's content words, by book."""
+    return stats.cooccurrence(_verses(spark, d), "book", T.content_words(T.tokens(F.col("zolai_text"), "ext")))
 
 
 @query(

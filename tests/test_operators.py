@@ -132,6 +132,13 @@ def test_quiz_has_all_distractors(spark, answers, others):
     assert all(r.answer in r.options and len(set(r.options)) == len(r.options) == others + 1 for r in got)
 
 
+def test_cooccurrence_pairs_all_words(spark):
+    ws = [f"w{i:02}" for i in range(12)]
+    df = spark.createDataFrame([("B", ws), ("B", [*ws, ws[0]]), ("C", ["w00", "w11"]), ("C", ["w00"]), ("C", None)], "book string, ws array<string>")
+    got = {(r.book, r.a, r.b): r.n for r in stats.cooccurrence(df, "book", F.col("ws")).collect()}
+    assert got == {("C", "w00", "w11"): 1} | {("B", a, b): 2 for a in ws for b in ws if a < b}
+
+
 def test_phrases_and_families(spark):
     t = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, ws array<string>")
     p = spark.createDataFrame([("a b",), ("b",), ("x",)], "phrase string")
