@@ -51,11 +51,18 @@ def path_categories(spark, d):
 
 @query("SELECT coalesce(nullif(trim(english), ''), nullif(trim(myanmar), ''), zolai) AS first_value, CASE WHEN zolai IS NOT NULL AND pos IS NOT NULL THEN 'dictionary' WHEN zolai IS NOT NULL AND english IS NOT NULL THEN 'parallel' ELSE 'corpus' END AS format, id FROM dictionary_enhanced WHERE coalesce(trim(english), '') <> '-' AND coalesce(trim(myanmar), '') <> '-'")
 def record_formats(spark, d):
-    """A7-A9."""
+    """A7-A9, of the rows without '-'; record_first_values has all rows."""
     t = table(spark, d, "dictionary_enhanced").where("coalesce(trim(english), '') <> '-' AND coalesce(trim(myanmar), '') <> '-'")
     return t.select(F.trim(readers.first_field(t, ["english", "myanmar"])).alias("f"), "zolai", readers.record_format(t).alias("format"), "id").select(F.coalesce("f", "zolai").alias("first_value"), "format", "id")
 
 
+@query("SELECT coalesce(CASE WHEN trim(english) NOT IN ('', '-') THEN trim(english) END, CASE WHEN trim(myanmar) NOT IN ('', '-') THEN trim(myanmar) END, CASE WHEN trim(zolai) NOT IN ('', '-') THEN trim(zolai) END) AS first_value, CASE WHEN zolai IS NOT NULL AND pos IS NOT NULL THEN 'dictionary' WHEN zolai IS NOT NULL AND english IS NOT NULL THEN 'parallel' ELSE 'corpus' END AS format, id FROM dictionary_enhanced")
+def record_first_values(spark, d):
+    """Over all rows; '-' is blank, so the next column is taken."""
+    t = table(spark, d, "dictionary_enhanced")
+    return t.select(F.trim(readers.first_field(t, ["english", "myanmar", "zolai"])).alias("first_value"), readers.record_format(t).alias("format"), "id")
+
+
 @query("SELECT source, count(*) AS n, sum(length(text))::BIGINT AS chars, sum(length(text) // 3)::BIGINT AS tokens, round(avg(length(text)), 6) AS mean_chars, min(length(text)) AS shortest, max(length(text)) AS longest FROM documents GROUP BY 1")
 def dataset_statistics(spark, d):
     """B6, G26."""

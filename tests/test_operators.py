@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators import dedup, filters, joins, mutate, patterns, quality, search, stats, training
+from quern.plans.queries import Q
 from quern.sources import readers, sinks
 from quern.streaming import streams
 
@@ -139,6 +140,13 @@ def test_cooccurrence_pairs_all_words(spark):
     assert got == {("C", "w00", "w11"): 1} | {("B", a, b): 2 for a in ws for b in ws if a < b}
 
 
+def test_first_value_skips_the_dash(spark, tmp_path):
+    rows = [(1, "a", "m", "z", "n"), (2, " - ", "m", "z", None), (3, "-", "-", "z", None), (4, None, " ", "z", None), (5, "", "-", "-", None), (6, "x", None, None, None)]
+    spark.createDataFrame(rows, "id long, english string, myanmar string, zolai string, pos string").write.parquet(f"{tmp_path}/dictionary_enhanced.parquet")
+    got = {r.id: (r.first_value, r.format) for r in Q["record_first_values"](spark, str(tmp_path)).collect()}
+    assert got == {1: ("a", "dictionary"), 2: ("m", "parallel"), 3: ("z", "parallel"), 4: ("z", "corpus"), 5: (None, "parallel"), 6: ("x", "corpus")}
+
+
 def test_phrases_and_families(spark):
     t = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, ws array<string>")
     p = spark.createDataFrame([("a b",), ("b",), ("x",)], "phrase string")
