@@ -59,17 +59,36 @@ FROM (SELECT *, list_filter(string_split_regex(trim(string_split_regex(regexp_re
 WHERE english IS NOT NULL AND pos IS NOT NULL AND len(list_distinct(list_filter(list_transform(string_split(english, ';'), lambda m: trim(m)), lambda m: m <> ''))) = len(list_filter(list_transform(string_split(english, ';'), lambda m: trim(m)), lambda m: m <> ''))"""
 )
 def dictionary_terms(spark, d):
-    """Entries whose meanings are distinct (the oracle's list_distinct keeps no order)."""
+    """Entries with english and pos whose meanings are distinct (the oracle's list_distinct keeps no order); dictionary_terms_all has all."""
     t = table(spark, d, "dictionary_enhanced").where("english IS NOT NULL AND pos IS NOT NULL")
-    m = T.clean_meanings(F.col("english"))
     raw = F.filter(F.transform(F.split("english", ";"), lambda x: F.trim(x)), lambda x: x != "")
-    return t.where(F.size(F.array_distinct(raw)) == F.size(raw)).select(
+    return _terms(t.where(F.size(F.array_distinct(raw)) == F.size(raw)))
+
+
+@query(
+    r"""SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(concat_ws(' ', pos, english), '(?i)^[a-z]{1,4}\.\s+', '', 'g'), '[|\n]', ' ', 'g'), '\s+', ' ', 'g')) AS term,
+  regexp_replace(trim(zolai), '[.,;:!?"' || chr(39) || '()\[\]{}“”‘’…]', '', 'g') AS bare,
+  CASE WHEN len(hw) > 0 THEN array_to_string(hw, ' ') END AS headword,
+  list_filter(ms, lambda m, i: list_position(ms, m) = i) AS meanings,
+  CASE WHEN english IS NULL THEN NULL WHEN length(english) < 20 THEN 'noun' WHEN ends_with(english, 'ing') THEN 'verb' WHEN ends_with(english, 'ly') THEN 'adverb' ELSE 'phrase' END AS pos_shape,
+  CASE WHEN regexp_matches(zolai, '(sak|thei|nak|lo)$') THEN 'v' WHEN regexp_matches(zolai, '(na|pi|te|pa|nu)$') THEN 'n' WHEN regexp_matches(english, '(?i)^to ') THEN 'v' WHEN regexp_matches(english, '(?i)^(a|an|the) ') THEN 'n' END AS pos_form,
+  substr(english, 1, 12) AS short
+FROM (SELECT *, list_filter(string_split_regex(trim(string_split_regex(regexp_replace(regexp_replace(english, '["“”]', '', 'g'), '\s*\([^)]*\)', '', 'g'), '[.;\n]')[1]), '\s+'), lambda w: length(w) > 1)[1:2] AS hw,
+  list_filter(list_transform(string_split(english, ';'), lambda m: trim(regexp_replace(m, '\s*\([^)]*\)\s*$', ''))), lambda m: m <> '') AS ms FROM dictionary_enhanced)"""
+)
+def dictionary_terms_all(spark, d):
+    """C8, C10, C11, C15, C34, C35 over all entries: repeated meanings once, in order; NULL where there is no english."""
+    return _terms(table(spark, d, "dictionary_enhanced"))
+
+
+def _terms(t):
+    return t.select(
         "id",
         T.clean_term(F.concat_ws(" ", "pos", "english")).alias("term"),
         T.strip_punctuation(F.col("zolai")).alias("bare"),
         T.headword(F.col("english")).alias("headword"),
-        m.alias("meanings"),
-        T.pos_by_shape(F.col("english")).alias("pos_shape"),
+        T.clean_meanings(F.col("english")).alias("meanings"),
+        F.when(F.col("english").isNotNull(), T.pos_by_shape(F.col("english"))).alias("pos_shape"),
         T.pos_by_form(F.col("zolai"), F.col("english")).alias("pos_form"),
         F.when(F.length("english") > 12, F.substring("english", 1, 12)).otherwise(F.col("english")).alias("short"),
     )

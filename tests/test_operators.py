@@ -147,6 +147,16 @@ def test_first_value_skips_the_dash(spark, tmp_path):
     assert got == {1: ("a", "dictionary"), 2: ("m", "parallel"), 3: ("z", "parallel"), 4: ("z", "corpus"), 5: (None, "parallel"), 6: ("x", "corpus")}
 
 
+def test_terms_of_all_entries(spark, tmp_path):
+    rows = [(1, "w", "to see; look (at); to see (it);look", None), (2, "gamna", None, "n"), (3, "u", None, None), (4, "u", "b;a;b;c;a", "v")]
+    spark.createDataFrame(rows, "id long, zolai string, english string, pos string").write.parquet(f"{tmp_path}/dictionary_enhanced.parquet")
+    got = {r.id: (r.term, r.bare, r.meanings, r.pos_shape, r.pos_form) for r in Q["dictionary_terms_all"](spark, str(tmp_path)).collect()}
+    assert got == {
+        1: ("to see; look (at); to see (it);look", "w", "to see | look", "phrase", "v"), 2: ("n", "gamna", None, None, "n"),
+        3: ("", "u", None, None, None), 4: ("v b;a;b;c;a", "u", "b | a | c", "noun", None),
+    }
+
+
 def test_phrases_and_families(spark):
     t = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, ws array<string>")
     p = spark.createDataFrame([("a b",), ("b",), ("x",)], "phrase string")
