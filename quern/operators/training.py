@@ -139,13 +139,15 @@ def paraphrase(c: Column, synonyms: dict[str, str], connectors: dict[str, str])
     return T.replace_forms(c, {**synonyms, **connectors})
 
 
-def evidence_edges(words: DataFrame, meanings: DataFrame, most: int = 10) -> DataFrame:
-    """``word, kind, target`` edges: up to ``most`` verses and three meanings of each word, smallest first."""
-    top = lambda df, col, k, kind: (
-        df.select("word", F.col(col).cast("string").alias("target"), F.col(col).alias("_o")).distinct()
+def evidence_edges(words: DataFrame, meanings: DataFrame, most: int = 10, phrases: DataFrame | None = None) -> DataFrame:
+    """``word, kind, target`` edges: up to ``most`` verses and three meanings of each word, and with ``phrases``
+    (phrase, id) up to ``most`` verses of each phrase (kind ``phrase-verse``), smallest first."""
+    top = lambda df, key, col, k, kind: (
+        df.select(F.col(key).alias("word"), F.col(col).cast("string").alias("target"), F.col(col).alias("_o")).distinct()
         .withColumn("r", F.row_number().over(Window.partitionBy("word").orderBy("_o"))).where(F.col("r") <= k).select("word", F.lit(kind).alias("kind"), "target")
     )
-    return top(words, "id", most, "verse").unionAll(top(meanings, "meaning", 3, "meaning"))
+    edges = top(words, "word", "id", most, "verse").unionAll(top(meanings, "word", "meaning", 3, "meaning"))
+    return edges if phrases is None else edges.unionAll(top(phrases, "phrase", "id", most, "phrase-verse"))
 
 
 def validate_examples(df: DataFrame, fields: list[str], denied: list[str]) -> Column:

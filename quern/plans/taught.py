@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
-from quern.operators import filters, quality, search, training
+from quern.operators import filters, joins, quality, search, training
 from quern.plans.registry import query
 from quern.plans.scored import _FEATURES, _SCORE
 from quern.plans.texts import _REASON
@@ -119,11 +119,30 @@ SELECT word, 'verse' AS kind, o::VARCHAR AS target FROM (SELECT *, row_number()
 UNION ALL SELECT word, 'meaning', o FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM m) WHERE r <= 3"""
 )
 def evidence_graph(spark, d):
-    """L22."""
+    """L22 over the vocabulary alone (its rows in the place of verses); evidence_links has the verses."""
     v = table(spark, d, "zolai_vocabulary").where("zolai IS NOT NULL").select(F.lower("zolai").alias("word"), "id", "english")
     return training.evidence_edges(v, v.where(~T.blank(F.col("english"))).select("word", F.col("english").alias("meaning")))
 
 
+@query(
+    rf"""WITH k AS (SELECT lower(trim(regexp_replace(zolai, '\s+', ' ', 'g'))) AS word, english FROM zolai_vocabulary WHERE trim(regexp_replace(coalesce(zolai, ''), '\s+', ' ', 'g')) NOT IN ('', '-')),
+t AS (SELECT DISTINCT word, len(string_split(word, ' ')) AS len FROM k), v AS (SELECT id, {W.format('lower(zolai_text)')} AS w FROM bible_verses_enhanced),
+g AS (SELECT id, l, w, unnest(range(1, len(w) - l + 2)) AS i FROM v, (SELECT DISTINCT len AS l FROM t)), h AS (SELECT DISTINCT word, id AS o, l FROM (SELECT id, l, array_to_string(w[i:i + l - 1], ' ') AS word FROM g) JOIN t USING (word)),
+m AS (SELECT DISTINCT word, english AS o FROM k WHERE trim(regexp_replace(coalesce(english, ''), '\s+', ' ', 'g')) NOT IN ('', '-'))
+SELECT word, CASE WHEN l = 1 THEN 'verse' ELSE 'phrase-verse' END AS kind, o::VARCHAR AS target FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM h) WHERE r <= 10
+UNION ALL SELECT word, 'meaning', o FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM m) WHERE r <= 3"""
+)
+def evidence_links(spark, d):
+    """Vocabulary words and phrases of any length -> the verses that hold them, and words -> meanings."""
+    v = table(spark, d, "zolai_vocabulary").where(~T.blank(F.col("zolai"))).select(F.lower(T.squeeze(F.col("zolai"))).alias("word"), "english")
+    longest = v.agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
+    verses = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text").select("id", T.words(F.lower("zolai_text")).alias("ws"))
+    hits = joins.phrase_hits(verses, v.select(F.col("word").alias("phrase")), longest).select("phrase", "id")
+    one = F.instr("phrase", " ") == 0
+    meanings = v.where(~T.blank(F.col("english"))).select("word", F.col("english").alias("meaning"))
+    return training.evidence_edges(hits.where(one).withColumnRenamed("phrase", "word"), meanings, 10, hits.where(~one))
+
+
 @query("WITH u AS (SELECT 'articles' AS source_table, id, content AS text FROM articles UNION ALL SELECT 'wiki_content', id, content FROM wiki_content) SELECT source_table, id, length(text) AS chars FROM u WHERE length(trim(text)) >= 20")
 def tagged_union(spark, d):
     """A5, L17, I1."""

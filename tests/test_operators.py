@@ -157,6 +157,14 @@ def test_terms_of_all_entries(spark, tmp_path):
     }
 
 
+def test_evidence_reaches_verses(spark, tmp_path):
+    spark.createDataFrame([(900, "Gam", "land"), (901, "gam", "country"), (902, "gam  lian a om", "great land"), (903, "zz", None), (904, "-", "x")], "id long, zolai string, english string").write.parquet(f"{tmp_path}/zolai_vocabulary.parquet")
+    spark.createDataFrame([(i, "gam lian a om hi") for i in range(1, 13)] + [(13, None)], "id long, zolai_text string").write.parquet(f"{tmp_path}/bible_verses_enhanced.parquet")
+    got = sorted(map(tuple, Q["evidence_links"](spark, str(tmp_path)).collect()))
+    ids = [str(i) for i in range(1, 11)]
+    assert got == sorted([("gam", "verse", i) for i in ids] + [("gam lian a om", "phrase-verse", i) for i in ids] + [("gam", "meaning", "land"), ("gam", "meaning", "country"), ("gam lian a om", "meaning", "great land")])
+
+
 def test_phrases_and_families(spark):
     t = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, [])], "id long, ws array<string>")
     p = spark.createDataFrame([("a b",), ("b",), ("x",)], "phrase string")
