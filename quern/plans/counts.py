@@ -124,7 +124,7 @@ c AS (SELECT word, near, count(*) AS n FROM p GROUP BY 1, 2)
 SELECT word, near, n, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS rank FROM c WHERE n >= 2) WHERE rank <= 5"""
 )
 def collocates(spark, d):
-    """The five leading neighbours within two words."""
+    """The five leading neighbours within two words."""
     return stats.top_per_group(stats.collocations(_verses(spark, d), _z()).where("n >= 2"), ["word"], 5, [F.desc("n"), F.col("near")])
 
 

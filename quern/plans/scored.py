@@ -230,7 +230,7 @@ v AS (SELECT id, len(l) AS n, CASE WHEN len(l) > 0 THEN list_sum(list_transform(
 SELECT id, n, round(var, 6) AS variance, var < 10 AS parallel FROM v"""
 )
 def discourse_stats(spark, d):
-    """K15, J19, J20."""
+    """K15."""
     a = table(spark, d, "articles").where("content IS NOT NULL")
     return a.select("id", patterns.discourse(F.col("content")).alias("s")).select("id", "s.*")
 
