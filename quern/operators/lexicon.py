@@ -76,7 +76,7 @@ def word_pairs(rows: DataFrame, seed: str = "42") -> DataFrame:
 
 
 def deep_scores(sentences: DataFrame, known: DataFrame, structures: DataFrame) -> DataFrame:
-    """``id, unknown, structure_known, score``: 100, less 5 for each word that ``known`` lacks and 15 for a
+    """J13 in part (unknown words, structure), J15: ``id, unknown, structure_known, score``: 100, less 5 for each word that ``known`` lacks and 15 for a
     structure that ``structures`` lacks (5 if only its core is there), not below 0.
 
     ``sentences``: id, ws, structure, core; ``known``: word; ``structures``: structure, core. All by equi-join.

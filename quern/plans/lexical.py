@@ -170,7 +170,7 @@ h AS (SELECT s.id, coalesce(unknown, 0) AS unknown, CASE WHEN structure IN (SELE
 SELECT id, unknown, structure_known, greatest(0, 100 - 5 * unknown - CASE structure_known WHEN 'exact' THEN 0 WHEN 'core' THEN 5 ELSE 15 END) AS score FROM h"""
 )
 def deep_validation(spark, d):
-    """Against the vocabulary and the structures of every second verse (the reference set of this query)."""
+    """J13 in part, J15: against the vocabulary and the structures of every second verse (the reference set of this query)."""
     v = _verses(spark, d, "zolai_text").where("zolai_text IS NOT NULL").select("id", T.tokens(F.col("zolai_text"), "alpha").alias("ws"))
     s = v.select("id", "ws", patterns.structure(F.col("ws")).alias("structure")).withColumn("core", patterns.core_structure(F.col("structure")))
     return lexicon.deep_scores(s, table(spark, d, "zolai_vocabulary").select(F.lower(F.trim("zolai")).alias("word")), s.where("id % 2 = 0"))
