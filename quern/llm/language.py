@@ -3,8 +3,8 @@
 Each language has a raw-content zstandard dictionary; text belongs to the language whose dictionary
 makes it smallest. Words are sized one by one between paddings (sizes are cached, and padding lets
 even a short word find its match), a shortest path with a price for each change of language cuts
-the document, and the sizes of each passage are summed: the smallest names its language, and a
-narrow margin to the second rejects it.
+the document, and the smallest size of each passage names its language: the sum over its words,
+or where that is close its running text. A narrow margin to the second rejects it.
 
 The dictionaries are the only thing fitted: on the labelled samples, and on passages of a bounded
 number of documents whose stated language the samples confirm.
@@ -26,6 +26,9 @@ _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _PAD = b"\0" * 64
 CHANGE = 14.0  # bytes that a change of language costs
 CACHE = 400_000  # words whose sizes a task keeps
+SURE = 1.0  # bytes a word between the two smallest sizes from which the sizes of single words decide
+STRETCH = 10  # words that are encoded together
+ALONE = 8192  # words of a lone long document that are looked up at a time
 
 
 def _params() -> zstandard.ZstdCompressionParameters:
@@ -62,57 +65,75 @@ class Classifier:
         data = _PAD + f" {text} ".encode() + _PAD
         return [len(c.compress(data)) for c in self._compressors]
 
-    def costs(self, docs: list[list[str]]) -> list[np.ndarray]:
-        """For each document a matrix of words x languages: bytes beyond the best language's."""
+    def word_ids(self, docs: list[list[str]]) -> list[np.ndarray]:
+        """For each document the rows of ``table`` (bytes beyond the best language's) of its words."""
         if len(self.words) > CACHE:
             self.words, self.table = {}, np.zeros((0, len(self.langs)))
-        ids, new = [], []
+        out, new = [], []
         for ws in docs:
-            row = []
-            for w in ws:
+            row = np.empty(len(ws), np.int32)
+            for j, w in enumerate(ws):
                 i = self.words.get(w)
                 if i is None:
                     i = self.words[w] = len(self.words)
                     size = np.array(self.sizes(w), float)
                     new.append(size - size.min())
-                row.append(i)
-            ids.append(row)
+                row[j] = i
+            out.append(row)
         if new:
             self.table = np.vstack([self.table, np.array(new)])
-        return [self.table[row] if row else np.zeros((0, len(self.langs))) for row in ids]
-
-    def paths(self, costs: list[np.ndarray]) -> list[np.ndarray]:
-        """The cheapest language of each word, all documents in lockstep, longest first."""
-        order = sorted((i for i in range(len(costs)) if len(costs[i])), key=lambda i: -len(costs[i]))
-        out = [np.zeros(0, np.int64)] * len(costs)
-        for at in range(0, len(order), 256):
-            group = order[at : at + 256]
-            n = np.array([len(costs[i]) for i in group])
-            k = len(self.langs)
-            e = np.zeros((n[0], len(group), k))
-            for j, i in enumerate(group):
-                e[: n[j], j] = costs[i]
-            active = np.array([int((n > t).sum()) for t in range(n[0])])
-            best = e[0].copy()
-            back = np.zeros(e.shape, np.int8)
-            every = np.arange(k)
-            for t in range(1, n[0]):
-                a = active[t]
-                now = best[:a]
-                low = now.argmin(1)
-                move = now[np.arange(a), low][:, None] + CHANGE
-                stay = now <= move
-                back[t, :a] = np.where(stay, every, low[:, None])
-                best[:a] = np.where(stay, now, move) + e[t, :a]
-            state = best.argmin(1)
-            path = np.zeros((n[0], len(group)), np.int64)
-            for t in range(n[0] - 1, -1, -1):
-                a = active[t]
-                path[t, :a] = state[:a]
-                if t:
-                    state[:a] = back[t, np.arange(a), state[:a]]
-            for j, i in enumerate(group):
-                out[i] = path[: n[j], j]
+        return out
+
+    def paths(self, ids: list[np.ndarray]) -> list[np.ndarray]:
+        """The cheapest language of each word, all documents in lockstep, longest first.
+
+        Memory is a byte for each word and language, whatever the length of the longest document.
+        """
+        order = sorted((i for i in range(len(ids)) if len(ids[i])), key=lambda i: -len(ids[i]))
+        out = [np.zeros(0, np.int8)] * len(ids)
+        if not order:
+            return out
+        n = np.array([len(ids[i]) for i in order])
+        begins = np.cumsum(n) - n
+        flat = np.concatenate([ids[i] for i in order])
+        k, every = len(self.langs), np.arange(len(self.langs))
+        back = np.zeros((len(flat), k), np.int8)
+        best = self.table[flat[begins]].copy()
+        shared = int(n[1]) if len(n) > 1 else 1  # beyond, the longest document is alone
+        active = len(n) - np.searchsorted(n[::-1], np.arange(shared), side="right")
+        for t in range(1, shared):
+            a = active[t]
+            rows = begins[:a] + t
+            now = best[:a]
+            low = now.argmin(1)
+            move = now[np.arange(a), low][:, None] + CHANGE
+            stay = now <= move
+            back[rows] = np.where(stay, every, low[:, None])
+            best[:a] = np.where(stay, now, move) + self.table[flat[rows]]
+        alone = best[0].tolist()
+        for at in range(shared, int(n[0]), ALONE):
+            part = self.table[flat[at : min(at + ALONE, int(n[0]))]].tolist()
+            for t, e in enumerate(part, at):
+                m = min(alone)
+                low, move = alone.index(m), m + CHANGE
+                from_ = [j if x <= move else low for j, x in enumerate(alone)]
+                alone = [min(x, move) + y for x, y in zip(alone, e)]
+                back[t] = from_
+        best[0] = alone
+        state = best.argmin(1)
+        path = np.zeros(len(flat), np.int8)
+        one = int(state[0])
+        for t in range(int(n[0]) - 1, shared - 1, -1):
+            path[t] = one
+            one = int(back[t, one])
+        state[0] = one
+        for t in range(shared - 1, -1, -1):
+            a = active[t]
+            rows = begins[:a] + t
+            path[rows] = state[:a]
+            state[:a] = back[rows, state[:a]]
+        for i, at, m in zip(order, begins, n):
+            out[i] = path[at : at + m]
         return out
 
     def passages(self, texts: list[str | None], least: int = 10, margin: float = 0.25) -> Iterator[tuple[int, str | None, int, int, float]]:
@@ -122,8 +143,8 @@ class Classifier:
         where the two smallest sizes differ by less than ``margin`` bytes a word.
         """
         docs = [_WORD.findall((t or "").lower()) for t in texts]
-        costs = self.costs(docs)
-        for d, path in enumerate(self.paths(costs)):
+        ids = self.word_ids(docs)
+        for d, path in enumerate(self.paths(ids)):
             if not len(path):
                 continue
             cut = np.r_[0, np.flatnonzero(np.diff(path)) + 1, len(path)]
@@ -143,13 +164,19 @@ class Classifier:
                 i += 1
             for _, a, b in merged:
                 if b - a >= least:
-                    yield (d, *self.decide(costs[d][a:b], margin, a))
+                    yield (d, *self.decide(docs[d][a:b], ids[d][a:b], margin, a))
 
-    def decide(self, costs: np.ndarray, margin: float, at: int = 0) -> tuple[str | None, int, int, float]:
-        """The language with the smallest size over all words of a passage, with its margin's confidence."""
-        sizes, n = costs.sum(0), len(costs)
-        first, second = np.partition(sizes, 1)[:2] if len(sizes) > 1 else (0.0, float(n))
-        per_word = float(second - first) / n
+    def decide(self, words: list[str], ids: np.ndarray, margin: float, at: int = 0) -> tuple[str | None, int, int, float]:
+        """The language with the smallest size of a passage, with its margin's confidence.
+
+        The sizes of its words decide where they are far apart (``SURE`` bytes a word); otherwise the
+        passage is encoded as running text, ``STRETCH`` words at a time, so that it can't match itself.
+        """
+        sizes, n = self.table[ids].sum(0), len(ids)
+        apart = lambda s: float(np.subtract(*np.partition(s, 1)[1::-1])) / n if len(s) > 1 else 1.0
+        if apart(sizes) < SURE:
+            sizes = sum(np.array(self.sizes(" ".join(words[i : i + STRETCH])), float) for i in range(0, n, STRETCH))
+        per_word = apart(sizes)
         return self.langs[int(sizes.argmin())] if per_word >= margin else None, at + 1, at + n, round(1 - 0.5**per_word, 4)
 
 
@@ -163,7 +190,8 @@ def fit(samples: DataFrame, labelled: DataFrame | None = None, sample_rows: int
     texts: dict[str, list[str]] = defaultdict(list)
     for r in samples.where("lang IS NOT NULL AND sample_text IS NOT NULL").orderBy(F.xxhash64("sample_text"), "sample_text").limit(sample_rows).collect():
         texts[r.lang].append(r.sample_text.lower())
-    base = {lang: " ".join(ts) for lang, ts in texts.items()}
+    clip = lambda s, n: s.encode()[:n].decode(errors="ignore") if n > 0 else ""
+    base = {lang: clip(" ".join(ts), dictionary_bytes) for lang, ts in texts.items()}
     if not base:
         raise ValueError("no labelled samples")
     plain = Classifier(base)
@@ -175,8 +203,8 @@ def fit(samples: DataFrame, labelled: DataFrame | None = None, sample_rows: int
     for d, lang, a, b, _ in plain.passages([r.text for r in rows], least=15, margin=1.0):
         if lang == rows[d].lang:
             more[lang].append(" ".join(docs[d][a - 1 : b]))
-    clip = lambda s, n: s.encode()[:n].decode(errors="ignore") if n > 0 else ""
-    return Classifier({lang: clip(" ".join(more[lang]), dictionary_bytes - len(t.encode())) + " " + t for lang, t in base.items()})
+    # the samples stand last, where matches cost least
+    return Classifier({lang: f"{clip(' '.join(more[lang]), dictionary_bytes - len(t.encode()) - 1)} {t}".lstrip() for lang, t in base.items()})
 
 
 def with_stated(df: DataFrame, label_col: str, labels: DataFrame) -> DataFrame:

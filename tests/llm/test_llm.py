@@ -5,7 +5,10 @@ table, and extra columns whose names clash with those that it uses inside.
 """
 
 import itertools
+import os
 import random
+import subprocess
+import sys
 import unicodedata
 from collections import Counter, defaultdict
 
@@ -221,6 +224,45 @@ def test_language_frames(spark, classifier):
         language.fit(spark.createDataFrame([], "lang string, sample_text string"))
 
 
+def test_paths_are_cheapest(classifier):
+    rng = random.Random(9)
+    docs = [text(rng, n, VOCAB + SAMPLES["own"] + SAMPLES["eng"] + SAMPLES["miz"]).split() for n in (1, 300, 0, 7, 7, 40, 2)]
+    for chosen in (docs, docs[:1], docs[1:2], docs[2:3], []):
+        ids = classifier.word_ids(chosen)
+        for ws, i, path in zip(chosen, ids, classifier.paths(ids)):
+            assert len(path) == len(ws)
+            if not ws:
+                continue
+            best = classifier.table[i[0]].copy()
+            for e in classifier.table[i[1:]]:
+                best = np.minimum(best, best.min() + language.CHANGE) + e
+            cost = classifier.table[i, path].sum() + language.CHANGE * (np.diff(path) != 0).sum()
+            assert cost == pytest.approx(best.min())
+
+
+def test_a_very_long_document_needs_little_memory():
+    code = """
+import random, resource
+from quern.llm import language
+rng = random.Random(1)
+c = language.Classifier({"a": "ka pai hi leh nuam thei lo zong tua", "b": "the of and school with fathers were rain", "c": "chu tih hrawh tlang zawk rawn", "d": "x y z", "e": "q w"})
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+long = " ".join(rng.choice(["ka pai hi leh", "nuam thei lo zong"]) for _ in range(250_000))
+found = list(c.passages([long] + ["the of and school with fathers were rain the of and school"] * 255))
+assert (found[0][1], found[0][3]) == ("a", 1_000_000) and len(found) == 256, found[:2]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert int(done.stdout) < 500
+
+
+def test_dictionaries_keep_their_bound(spark):
+    samples = spark.createDataFrame([("own", "ka pai " * 500), ("eng", "the of " * 500)], "lang string, sample_text string")
+    labelled = spark.createDataFrame([(1, "own", "ka pai hi " * 500)], "id long, lang string, text string")
+    for limit in (100, 5000, 65536):
+        assert all(len(t.encode()) <= limit for t in language.fit(samples, labelled, dictionary_bytes=limit).texts.values())
+
+
 # ---- 5
 
 
