@@ -80,3 +80,15 @@ n AS (SELECT table_name, id, count(*) AS n FROM s GROUP BY 1, 2),
 o AS (SELECT a.table_name, a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.table_name = b.table_name AND a.g = b.g AND a.id < b.id GROUP BY 1, 2, 3)
 SELECT o.table_name, id_a, id_b FROM o JOIN n x ON x.table_name = o.table_name AND x.id = id_a JOIN n y ON y.table_name = o.table_name AND y.id = id_b
 WHERE c >= 0.5 * (x.n + y.n - c)"""
+# the sources at their limit are those of least limit / target share, up to where the rest of the total fits the others
+SQL["p8_budgets"] = r"""
+WITH n AS (SELECT source, sum(strlen(text))::BIGINT AS tokens FROM documents WHERE strlen(text) > 0 GROUP BY 1),
+m AS (SELECT source, max(target_share) AS g, max(max_repeats) AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+j AS (SELECT source, g, tokens, (tokens * r)::DOUBLE AS cap, cap / g AS limit_at FROM m JOIN n USING (source) WHERE g > 0 AND r > 0),
+c AS (SELECT *, (SELECT sum(tokens) FROM j) - coalesce(sum(cap) OVER (ORDER BY limit_at, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+             sum(g) OVER (ORDER BY limit_at, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS goals FROM j),
+k AS (SELECT min(limit_at) AS first_free, arg_min(rest / goals, limit_at) AS level FROM c WHERE rest / goals <= limit_at * (1 + 1e-9))
+SELECT source, coalesce(tokens, 0) AS tokens,
+       CASE WHEN tokens IS NULL THEN 0 WHEN limit_at < coalesce(first_free, 'inf'::DOUBLE) THEN cap ELSE floor(least(level * g, cap) + 1e-6) END::BIGINT AS budget,
+       CASE WHEN tokens IS NOT NULL THEN limit_at < coalesce(first_free, 'inf'::DOUBLE) END AS at_limit
+FROM m LEFT JOIN (SELECT source, tokens, cap, limit_at FROM c) USING (source) CROSS JOIN k"""

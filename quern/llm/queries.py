@@ -94,12 +94,13 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(*_near3(spark, d)).withColumnRenamed("part", "table_name")
 
 
-def _mix(spark, d):
-    return mixing.mix(texts(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
+def _mix(spark, d, **how):
+    return mixing.mix(texts(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"), **how)
 
 
 @query
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """As many tokens as the target sources have."""
     return _mix(spark, d)[0]
 
 
@@ -108,6 +109,26 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mix(spark, d)[1]
 
 
+@query
+def p8_shares_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The largest mixture in which every source with tokens has exactly its target share."""
+    return _mix(spark, d, total="exact")[1]
+
+
+@query
+def p8_shares_entropy(spark: SparkSession, d: str) -> DataFrame:
+    """Natural shares tempered to the entropy of the target shares."""
+    return _mix(spark, d, entropy_of="target")[1]
+
+
+@query
+def p8_budgets(spark: SparkSession, d: str) -> DataFrame:
+    """The plan alone, over sizes in bytes, which SQL can sum."""
+    docs = table(spark, d, "documents").where(F.octet_length("text") > 0)
+    sizes = docs.groupBy("source").agg(F.sum(F.octet_length("text")).alias("tokens"), F.count(F.lit(1)).alias("n"))
+    return mixing.plan_frame(sizes, table(spark, d, "mix_targets")).select("source", "tokens", "budget", (F.col("exponent") < 1).alias("at_limit"))
+
+
 def _canonical(spark, d, keep_clean):
     vocabulary, verses = table(spark, d, "zolai_vocabulary"), texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "myanmar_text")
     fields = [("zolai_vocabulary", "zolai", vocabulary), ("bible_verses_enhanced", "zolai_text", verses), ("bible_verses_enhanced", "myanmar_text", verses)]

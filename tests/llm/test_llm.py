@@ -410,26 +410,51 @@ def test_mix(spark):
     assert {k: v.used for k, v in sh.items()} == {**used, "none": 0}
     longest = max(r.n_tokens for r in rep.values())
     assert all(abs(v.used - v.budget) <= longest for v in sh.values())
-    main = sh["big"].budget, sh["mid"].budget, sh["low"].budget
-    assert main[0] == pytest.approx(main[1], abs=2)
-    assert main[2] == pytest.approx(main[0] * 2 / 3, abs=2)
+    assert sum(v.budget for v in sh.values()) == pytest.approx(sum(v.tokens for v in sh.values()), abs=5)
+    free = [v for v in sh.values() if v.exponent == 1]
+    assert len({round(v.budget / v.target_share / 20) for v in free}) == 1  # in target proportions
+    assert all(0 < v.exponent < 1 and v.budget == v.tokens * v.max_repeats for v in sh.values() if v.tokens and v not in free)
+    assert sh["tiny"].exponent < 1
+    assert sh["none"].exponent is None
+    exact = {r.source: r for r in mixing.mix(df, targets, total="exact")[1].collect()}
+    assert all(r.exponent == 1 for r in exact.values() if r.tokens)
+    assert min(r.budget / (r.tokens * r.max_repeats) for r in exact.values() if r.tokens) <= 1
     e, s = mixing.mix(df.limit(0), targets)
     assert e.count() == 0
     assert s.where("used > 0").count() == 0
 
 
+def test_ranges_do_not_change_the_choice(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "ab"[i % 3 == 0], "ka pai " * (1 + i % 5)) for i in range(300)], "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
+    once = {tuple(r) for r in mixing.mix(df, targets)[0].collect()}
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 7)
+    assert {tuple(r) for r in mixing.mix(df, targets)[0].collect()} == once
+
+
+def _rows(*given):
+    return [{"source": s, "target_share": t, "max_repeats": r, "tokens": n} for s, t, r, n in given]
+
+
 def test_exponent():
     natural, target = np.array([0.7, 0.2, 0.1]), np.array([0.2, 0.3, 0.5])
     x = mixing.bisect_exponent(lambda y: bool((mixing.tempered(natural, target, y) <= natural * 2).all()))
     w = mixing.tempered(natural, target, x)
     assert (w <= natural * 2 + 1e-9).all()
     assert (w / natural).max() == pytest.approx(2, abs=1e-6)
-    plan = mixing.plan_mix([{"source": s, "target_share": t, "max_repeats": 2, "tokens": n} for s, t, n in (("a", 0.5, 1000), ("b", 0.5, 10))])
-    assert [p["small"] for p in plan] == [False, True]
-    assert [p["budget"] for p in plan] == [2000, 20]
-    even = mixing.plan_mix([{"source": s, "target_share": t, "max_repeats": 9, "tokens": 1000} for s, t in (("a", 0.9), ("b", 0.1))], min_entropy=0.6)
+    two = _rows(("a", 0.5, 2, 1000), ("b", 0.5, 2, 10))
+    plan = mixing.plan_mix(two)
+    assert [p["budget"] for p in plan] == [990, 20]
+    assert plan[0]["exponent"] == 1
+    # at its exponent the tempered share of b is its limit
+    assert 1010 * mixing.tempered(np.array([1000, 10]) / 1010, np.array([0.5, 0.5]), plan[1]["exponent"])[1] == pytest.approx(20)
+    assert [p["budget"] for p in mixing.plan_mix(two, 10**6)] == [2000, 20]
+    assert [p["budget"] for p in mixing.plan_mix(two, "exact")] == [20, 20]
+    even = mixing.plan_mix(_rows(("a", 0.9, 9, 9000), ("b", 0.1, 9, 1000)), entropy_of=0.6)
     share = np.array([p["budget"] for p in even]) / sum(p["budget"] for p in even)
-    assert mixing.entropy(share) >= 0.599
+    assert mixing.entropy(share) == pytest.approx(0.6, abs=1e-3)
+    assert mixing.plan_mix(_rows(("a", 0.9, 9, 9000), ("b", 0.1, 9, 1000)), entropy_of=0.1)[0]["budget"] == 9000  # natural is more even already
+    assert mixing.plan_mix(_rows(("a", 0.9, 9, 0))) == [{"source": "a", "target_share": 0.9, "max_repeats": 9, "tokens": 0, "budget": 0, "exponent": None, "goal": 0.0}]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"])
