@@ -37,6 +37,20 @@ SELECT group_id, g.k AS group_key, n_records,
        max(id) FILTER (field_name = 'pos') AS pos_id, max(v) FILTER (field_name = 'pos') AS pos
 FROM g LEFT JOIN (SELECT * FROM r WHERE rn = 1) b ON b.k = g.k GROUP BY 1, 2, 3"""
 
+# a layer is one more than the longest chain of records that dominate
+SQL["p6_layers"] = r"""
+WITH RECURSIVE d AS (
+  SELECT lower(trim(regexp_replace(zolai, '\s+', ' ', 'g'))) AS k, id, coalesce(t.trust_rank, 2147483647) AS trust, coalesce(confidence, -1) AS conf, coalesce(updated_at, TIMESTAMP '1000-01-01') AS tm,
+         (trim(coalesce(english, '')) NOT IN ('', '-'))::INT AS e, (trim(coalesce(myanmar, '')) NOT IN ('', '-'))::INT AS m, (trim(coalesce(pos, '')) NOT IN ('', '-'))::INT AS p
+  FROM dictionary_enhanced x LEFT JOIN source_trust t ON regexp_extract(x.source_file, '([^/]*)$', 1) = t.source_file
+  WHERE zolai IS NOT NULL AND trim(zolai) NOT IN ('', '-')),
+g AS (SELECT k, min(id) AS group_id FROM d GROUP BY k HAVING count(*) >= 2),
+c AS (SELECT * FROM d JOIN g USING (k) QUALIFY row_number() OVER (PARTITION BY k, e, m, p, trust ORDER BY conf DESC, tm DESC, id) = 1),
+w AS (SELECT a.k, a.id AS a, b.id AS b FROM c a JOIN c b ON a.k = b.k AND a.id <> b.id AND a.e >= b.e AND a.m >= b.m AND a.p >= b.p AND a.trust <= b.trust AND (a.conf, a.tm, -a.id) >= (b.conf, b.tm, -b.id)),
+l AS (SELECT id, 1 AS layer FROM c UNION SELECT w.b, layer + 1 FROM l JOIN w ON w.a = l.id)
+SELECT group_id, c.id AS record_id, e + m + p AS n_fields, max(layer)::INT AS layer, (SELECT count(*) FROM w WHERE w.b = c.id)::INT AS n_above
+FROM c JOIN l USING (id) GROUP BY 1, 2, 3, c.id"""
+
 _P9 = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda t: t <> '') AS w FROM documents WHERE text IS NOT NULL),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS s, w FROM d WHERE len(w) >= 50),

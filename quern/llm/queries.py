@@ -37,18 +37,23 @@ def p5_terms(spark: SparkSession, d: str) -> DataFrame:
 P6_FIELDS = ["english", "myanmar", "pos"]
 
 
-def _survivors(spark, d):
-    return survivors.field_survivors(table(spark, d, "dictionary_enhanced"), table(spark, d, "source_trust"), "zolai", P6_FIELDS)
+def _duplicates(spark, d):
+    return table(spark, d, "dictionary_enhanced"), table(spark, d, "source_trust"), "zolai", P6_FIELDS
 
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return survivors.long_form(_survivors(spark, d), P6_FIELDS)
+    return survivors.long_form(survivors.chosen(survivors.skylines(*_duplicates(spark, d)), P6_FIELDS), P6_FIELDS)
 
 
 @query
 def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
-    return _survivors(spark, d)
+    return survivors.field_survivors(*_duplicates(spark, d))
+
+
+@query
+def p6_layers(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.layer_rows(survivors.skylines(*_duplicates(spark, d)), P6_FIELDS)
 
 
 @query

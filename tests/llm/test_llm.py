@@ -310,15 +310,42 @@ def test_radix_spill_is_exact(limit):
 # ---- 6
 
 
-def test_skyline():
-    rng = np.random.default_rng(8)
-    n = 400
-    keys, trust, ids = rng.integers(0, 20, n), rng.integers(0, 4, n), np.arange(n)
-    conf, fresh = rng.integers(0, 5, n).astype(float), rng.integers(0, 5, n)
-    got = set(survivors.skyline(keys, trust, conf, fresh, ids).tolist())
-    better = lambda a, b: trust[a] <= trust[b] and conf[a] >= conf[b] and fresh[a] >= fresh[b] and ((trust[a], -conf[a], -fresh[a]) != (trust[b], -conf[b], -fresh[b]) or a < b)
-    want = {i for i in range(n) if not any(keys[j] == keys[i] and j != i and better(j, i) for j in range(n))}
-    assert got == want
+def test_layers(spark):
+    rng = random.Random(8)
+    rows = [(i, f"w{rng.randrange(12)}", rng.choice(["x", None]), rng.choice(["y", "-"]), rng.choice(["a.txt", "b.txt", "c.txt", None]), rng.choice([0.1, 0.5, 0.9, None]), rng.choice(["2024-01-01", "2024-02-02", None])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, zolai string, english string, pos string, source_file string, confidence double, updated_at string")
+    trust = spark.createDataFrame([("a.txt", 1), ("b.txt", 2)], "source_file string, trust_rank int")
+    fields = ["english", "pos"]
+    found = survivors.skylines(df, trust, "zolai", fields)
+    got = {r.record_id: (r.group_id, r.n_fields, r.layer, r.n_above) for r in survivors.layer_rows(found, fields).collect()}
+    rank = {"a.txt": 1, "b.txt": 2}
+    good = {i: ({f for f, v in (("e", e), ("p", p)) if v not in (None, "-")}, rank.get(s, 99), (c if c is not None else -1, u or "")) for i, _, e, p, s, c, u in rows}
+    above = lambda a, b: good[a][0] >= good[b][0] and good[a][1] <= good[b][1] and (good[a][2], -a) > (good[b][2], -b)
+    by_policy = lambda ids: sorted(sorted(ids, key=lambda i: (good[i][2], -i), reverse=True), key=lambda i: good[i][1])
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1]].append(r[0])
+    for ids in groups.values():
+        layer = {}
+        for i in by_policy(ids):
+            layer[i] = 1 + max((layer[j] for j in layer if above(j, i)), default=0)
+        for i in ids:
+            if layer[i] == 1:  # every undominated record is kept, and named so
+                assert got[i][:3] == (min(ids), len(good[i][0]), 1)
+            elif i in got:
+                assert got[i][2] > 1
+    best = {(r.group_id, r.field_name): r.record_id for r in survivors.long_form(survivors.chosen(found, fields), fields).collect()}
+    for ids in groups.values():
+        for f, k in (("english", "e"), ("pos", "p")):
+            have = [i for i in by_policy(ids) if k in good[i][0]]
+            assert best.get((min(ids), f)) == (have[0] if have else None)
+
+
+def test_hot_headword_keeps_few_records(spark):
+    df = spark.range(5000).select("id", F.lit("Hot").alias("zolai"), F.when(F.col("id") % 2 == 0, "x").alias("english"), F.lit("a.txt").alias("source_file"), (F.col("id") % 97 / 100).alias("confidence"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    trust = spark.createDataFrame([("a.txt", 1)], "source_file string, trust_rank int")
+    (r,) = survivors.skylines(df, trust, "zolai", ["english"]).collect()
+    assert (r.n_records, [(b.id, b.layer) for b in r.best]) == (5000, [(96, 1), (193, 2)])
 
 
 def test_survivors(spark):
@@ -335,6 +362,7 @@ def test_survivors(spark):
     assert {r.group_id: r.n_records for r in s.collect()} == {1: 5, 8: 2, 10: 2}
     assert survivors.field_survivors(df.limit(0), trust, "zolai", ["english"]).count() == 0
     assert survivors.field_survivors(df, trust.limit(0), "zolai", ["english"]).count() == 3
+    assert {r.group_id: (r.english, r.pos) for r in s.collect()} == {1: ("walk", "n"), 8: ("b", None), 10: (None, None)}
 
 
 # ---- 7
