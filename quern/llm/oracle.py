@@ -65,6 +65,17 @@ n AS (SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), '[ \
 k AS (SELECT doc_id, sum(last_token - first_token + 1)::BIGINT AS n_shared FROM f GROUP BY 1)
 SELECT doc_id, n_tokens, coalesce(n_shared, 0) AS n_shared, CASE WHEN n_tokens > 0 THEN round(coalesce(n_shared, 0) / n_tokens, 6) END AS shared_share
 FROM n LEFT JOIN k USING (doc_id)"""
+SQL["p9_units"] = r"""
+WITH t AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, unnest(us) AS u, unnest(range(1, len(us) + 1)) AS i, kind, us FROM (
+        SELECT doc_id, [text] AS us, 0 AS kind FROM t UNION ALL SELECT doc_id, string_split_regex(text, '\n[ \t\r]*\n'), 1 FROM t UNION ALL SELECT doc_id, string_split(text, chr(10)), 2 FROM t)),
+w AS (SELECT doc_id, kind, i, list_filter(string_split_regex(u, '[ \t\r\n]+'), lambda t: t <> '') AS w FROM u),
+p AS (SELECT doc_id, len(w) AS n, md5(array_to_string(w, ' ')) AS x, sum(len(w)) OVER (PARTITION BY doc_id, kind ORDER BY i) - len(w) AS a FROM w),
+m AS (SELECT x FROM p WHERE n >= 50 GROUP BY x HAVING min(doc_id) < max(doc_id)),
+s AS (SELECT DISTINCT doc_id, a, a + n - 1 AS b FROM p SEMI JOIN m USING (x) WHERE n >= 50),
+f AS (SELECT *, CASE WHEN a - max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 1 THEN 0 ELSE 1 END AS fresh FROM s),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS run FROM f)
+SELECT doc_id, (min(a) + 1)::BIGINT AS first_token, (max(b) + 1)::BIGINT AS last_token FROM r GROUP BY doc_id, run"""
 SQL["p9_lines"] = r"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 e AS (SELECT doc_id, i AS line_no, ls[i] AS x, CASE WHEN i = 1 THEN 0 ELSE list_sum(list_transform(ls[1:i - 1], lambda y: length(y) + 1)) END AS first_char

@@ -61,6 +61,13 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(texts(spark, d, "documents", "doc_id", "text"))
 
 
+@query
+def p9_units(spark: SparkSession, d: str) -> DataFrame:
+    """What whole documents, paragraphs and lines show without windows, as runs."""
+    units = spans.shared_units(texts(spark, d, "documents", "doc_id", "text"))
+    return spans.islands(units.select("doc_id", F.col("first").alias("a"), F.col("last").alias("b")))
+
+
 @query
 def p9_share(spark: SparkSession, d: str) -> DataFrame:
     docs = texts(spark, d, "documents", "doc_id", "text")

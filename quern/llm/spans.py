@@ -1,21 +1,25 @@
 """Long spans that stand word for word in more than one record.
 
-Two granularities of one operator: units are normalised, their digests grouped globally, the
-earliest ranked occurrence is kept and the others are reported with their original offsets.
-
-* ``repeated_lines`` / paragraphs: the unit is a line.
-* ``shared_spans``: a line cannot show a span that starts and ends inside lines, so the unit is a
-  window of ``length`` tokens. All windows would be as many rows as tokens; so windows are first
-  filed under their anchor, the smallest hash among the grams they hold. Equal windows have equal
-  anchors, so only windows under an anchor that another document has too go on to be grouped.
+Units (whole documents, paragraphs, lines) are normalised to their tokens, their digests grouped
+globally, the earliest ranked occurrence is kept and the others are reported with their original
+offsets.
+
+* ``repeated_lines``: the unit is a line, compared without regard to case.
+* ``shared_spans``: units of ``length`` tokens or more that another document also has are shared as
+  they are. A unit cannot show a span that begins or ends inside it; so windows of ``length`` tokens
+  follow for the rest. All windows would be as many rows as tokens; so windows are first filed under
+  their anchor, the smallest hash among the grams they hold. Equal windows have equal anchors, so
+  only windows under an anchor that another document has too go on to be grouped.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +51,58 @@ def _slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBat
         yield batch.slice(at, step)
 
 
+_SPACES = re.compile(r"\s+", re.ASCII)
+_BREAK, _GAP = re.compile(r"\n"), re.compile(r"\n[ \t\r]*\n")
+
+
+def shared_units(df: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, first, last, kept``: units of ``length`` tokens or more that another document has too; tokens from 0.
+
+    Units are the whole text, its paragraphs (cut at blank lines) and its lines. ``kept`` is the earliest
+    occurrence by (doc_id, first). Only digests and offsets are shuffled.
+    """
+    docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
+
+    def units(batches):
+        for whole in batches:
+            for b in _slices(whole):
+                out = []
+                for doc, text, (hashes, starts) in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _by_row(b.column(1))):
+                    if len(hashes) < length:
+                        continue
+                    seen = set()
+                    for cut in (None, _GAP, _BREAK):
+                        ends = [m.start() for m in cut.finditer(text)] if cut else []
+                        at = np.r_[0, np.searchsorted(starts, _byte_offsets(text, ends)), len(hashes)]
+                        for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
+                            if z - a >= length and (a, z) not in seen:
+                                seen.add((a, z))
+                                d = xxhash.xxh3_128_digest(hashes[a:z].tobytes())
+                                out.append((doc, d, a, z - 1))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.int32(), pa.int32()))], names=["doc_id", "digest", "first", "last"])
+
+    found = cut_lineage(docs.mapInArrow(units, "doc_id bigint, digest binary, first int, last int"))
+    groups = found.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min(F.struct("doc_id", "first")).alias("k")).where("lo < hi").select("digest", "k")
+    return found.join(groups, "digest").select("doc_id", "first", "last", (F.struct("doc_id", "first") == F.col("k")).alias("kept"))
+
+
+def _byte_offsets(text: str, ends: list[int]) -> list[int]:
+    if text.isascii() or not ends:
+        return ends
+    width = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    upto = np.cumsum(1 + (width > 0x7F).astype(np.int64) + (width > 0x7FF) + (width > 0xFFFF))
+    return [int(upto[e - 1]) if e else 0 for e in ends]
+
+
+def _by_row(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The token hashes of each row and their byte offsets within it."""
+    hashes, rows, starts = blank_tokens(column, offsets=True)
+    at = np.searchsorted(rows, np.arange(len(column) + 1))
+    for a, b in zip(at[:-1], at[1:]):
+        yield hashes[a:b], starts[a:b]
+
+
 def shared_spans(df: DataFrame, length: int = 50, gram: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, first_token, last_token``: maximal runs of tokens that another document holds too.
 
@@ -89,16 +145,18 @@ def shared_spans(df: DataFrame, length: int = 50, gram: int = 25, id_col: str =
     near = cut_lineage(filed.join(shared_anchors, "anchor", "left_semi").select("doc_id", "anchor", "first", "digests"))
     single = near.select("doc_id", "anchor", "first", F.posexplode("digests").alias("i", "digest")).select("doc_id", "anchor", (F.col("first") + F.col("i")).alias("at"), "digest")
     # anchor and digest, 128 bits: of 10 ** 13 windows, 64 would make some look equal that aren't
-    hits = single.join(several(single, "anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc_id", "at")
-    return _islands(hits, length)
+    hits = single.join(several(single, "anchor", "digest"), ["anchor", "digest"], "left_semi").select("doc_id", F.col("at").alias("a"), (F.col("at") + length - 1).alias("b"))
+    units = shared_units(df, length, id_col, text_col).select("doc_id", F.col("first").alias("a"), F.col("last").alias("b"))
+    return islands(units.unionAll(hits))
 
 
-def _islands(hits: DataFrame, length: int) -> DataFrame:
-    """Runs of covered tokens from window starts (0-based): windows that touch or overlap are one run."""
-    w = Window.partitionBy("doc_id").orderBy("at")
-    starts = hits.withColumn("fresh", F.coalesce(F.col("at") - F.lag("at").over(w) > length, F.lit(True)).cast("int"))
-    runs = starts.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "run").agg(F.min("at").alias("a"), F.max("at").alias("b"))
-    return runs.select("doc_id", (F.col("a") + 1).cast("bigint").alias("first_token"), (F.col("b") + length).cast("bigint").alias("last_token"))
+def islands(spans: DataFrame) -> DataFrame:
+    """Runs of covered tokens, numbered from 1, of spans ``doc_id, a, b`` (from 0): spans that touch or overlap are one run."""
+    w = Window.partitionBy("doc_id").orderBy("a", "b")
+    before = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = spans.withColumn("fresh", F.coalesce(F.col("a") - before > 1, F.lit(True)).cast("int"))
+    runs = starts.withColumn("run", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("doc_id", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return runs.select("doc_id", (F.col("a") + 1).cast("bigint").alias("first_token"), (F.col("b") + 1).cast("bigint").alias("last_token"))
 
 
 def shared_share(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,24 +175,23 @@ def repeated_lines(df: DataFrame, least_chars: int = 40, id_col: str = "doc_id",
     ``least_chars`` such characters never count. Of equal lines the one with the smallest (doc_id,
     line_no) is kept, also within one document. Offsets (0-based, end exclusive) are of the stored text.
     """
-    lines = F.split(F.col(text_col), "\n", -1)
-    each = (
-        df.where(F.col(text_col).isNotNull())
-        .select(F.col(id_col).cast("bigint").alias("doc_id"), lines.alias("ls"))
-        .select("doc_id", F.expr("transform(ls, (x, i) -> struct(i + 1 AS line_no, length(x) AS n, lower(trim(regexp_replace(x, '\\\\s+', ' '))) AS unit))").alias("ls"))
-        .select("doc_id", F.explode("ls").alias("x"))
-        .select("doc_id", F.col("x.line_no").alias("line_no"), F.col("x.n").alias("n"), F.col("x.unit").alias("unit"))
-    )
-    w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    placed = each.withColumn("first_char", F.coalesce(F.sum(F.col("n") + 1).over(w), F.lit(0))).where(F.length("unit") >= least_chars)
-    placed = placed.select("doc_id", "line_no", "first_char", (F.col("first_char") + F.col("n")).alias("last_char"), F.md5("unit").alias("digest"))
+    given = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def lines(batches):
+        for b in batches:
+            out = []
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                first = 0
+                for no, line in enumerate(text.split("\n"), 1):
+                    unit = _SPACES.sub(" ", line).strip(" ").lower() if len(line) >= least_chars else ""
+                    if len(unit) >= least_chars:
+                        out.append((doc, no, first, first + len(line), xxhash.xxh3_128_digest(unit)))
+                    first += len(line) + 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "line_no", "first_char", "last_char", "digest"])
+
+    # read twice below; only offsets and digests are stored and shuffled, never text
+    placed = cut_lineage(given.mapInArrow(lines, "doc_id bigint, line_no bigint, first_char bigint, last_char bigint, digest binary"))
     earliest = placed.groupBy("digest").agg(F.min(F.struct("doc_id", "line_no")).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
     again = placed.join(earliest, "digest").where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("line_no") != F.col("kept.line_no")))
-    return again.select(
-        "doc_id",
-        F.col("line_no").cast("bigint").alias("line_no"),
-        F.col("first_char").cast("bigint").alias("first_char"),
-        F.col("last_char").cast("bigint").alias("last_char"),
-        F.col("kept.doc_id").alias("kept_doc_id"),
-        F.col("kept.line_no").cast("bigint").alias("kept_line_no"),
-    )
+    return again.select("doc_id", "line_no", "first_char", "last_char", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"))

@@ -45,15 +45,16 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blank_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens cut at space, tab and line break: (hash of each, row of each), in order."""
-    data, offsets = string_bytes(column)
+def blank_tokens(column: pa.Array, offsets: bool = False) -> tuple[np.ndarray, ...]:
+    """Tokens cut at space, tab and line break: (hash of each, row of each), in order; with ``offsets`` also the byte in its row that each begins at."""
+    data, bounds = string_bytes(column)
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return (none.astype(np.uint64), none, none) if offsets else (none.astype(np.uint64), none)
     solid = ~BLANKS[data]
     fresh = np.zeros(n + 1, bool)
-    fresh[offsets[:-1]] = True
+    fresh[bounds[:-1]] = True
     start = solid.copy()
     start[1:] &= ~solid[:-1] | fresh[1:n]
     begin = np.flatnonzero(start)
@@ -65,7 +66,8 @@ def blank_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.cumsum(BYTE[data] * powers(BASE, n), out=total[1:])
         back = powers(INVERSE, n)
         hashes = mix((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
-    return hashes, np.searchsorted(offsets, begin, side="right") - 1
+    rows = np.searchsorted(bounds, begin, side="right") - 1
+    return (hashes, rows, begin - bounds[rows]) if offsets else (hashes, rows)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:

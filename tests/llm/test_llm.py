@@ -539,6 +539,18 @@ def test_shared_spans(spark, seed, length, gram):
     assert got == brute_spans(docs, length)
 
 
+def test_units_are_shared_with_offsets(spark):
+    a, b, c = (text(random.Random(k), n) for k, n in ((1, 12), (2, 15), (3, 11)))
+    docs = [(1, f"é {a}\n\n{b}\n{c}"), (2, f"{b}\tx\n{a.replace(' ', '  ')}\n{c} "), (3, f"short\n{c}"), (4, None), (5, ""), (None, a)]
+    df = spark.createDataFrame([(i, x, 1, "d") for i, x in docs], "doc_id long, text string, first int, digest string")
+    got = {tuple(r) for r in spans.shared_units(df, 10).collect()}
+    assert got == {(1, 28, 38, True), (2, 28, 38, False), (3, 1, 11, False)}
+    again = {tuple(r) for r in spans.shared_units(df.unionAll(df.where("doc_id = 1").withColumn("doc_id", F.lit(9).cast("bigint"))), 10).collect()}
+    # document, paragraphs and the line of 15 tokens
+    assert {x for x in again if x[0] == 9} == {(9, 0, 38, False), (9, 0, 12, False), (9, 13, 38, False), (9, 13, 27, False), (9, 28, 38, False)}
+    assert spans.shared_units(df.limit(0), 10).count() == 0
+
+
 def test_span_edges(spark):
     t = text(random.Random(1), 60)
     df = spark.createDataFrame([(1, t), (1, t), (None, t), (2, "x")], "doc_id long, text string")
