@@ -1,6 +1,6 @@
 """Several values packed in one string field, split into one row per value.
 
-The values of an Arrow batch are looked at together, as one buffer of code points: quote events
+The string buffer of an Arrow batch is decoded once into code points and scanned as a whole: quote events
 are stepped through in lockstep over all values (the first event of every value, then the second,
 ...), which gives quote parity; a delimiter mask follows from it; child offsets of a list array
 are derived from the masks, and the list is flattened with its parent ordinals. No Python code
@@ -78,13 +78,10 @@ def _prev_other(skip: np.ndarray, n: int) -> np.ndarray:
 def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
     """A list array with the values packed in each string; NULL, blank and ``-`` give no value."""
     count = len(values)
-    strings = pc.fill_null(values.cast(pa.large_string()), "")
-    text = "".join(strings.to_pylist())
-    lengths = pc.utf8_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
-    n = len(text)
+    cps, lengths = _code_points(values)
+    n = len(cps)
     if n == 0:
         return pa.ListArray.from_arrays(pa.array(np.zeros(count + 1, np.int32)), pa.array([], pa.string()))
-    cps = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     owner = np.repeat(np.arange(count), lengths)
     ends = np.cumsum(lengths)
     starts = ends - lengths
@@ -105,12 +102,7 @@ def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
     nxt_bound = (nxt >= ends[owner]) | bounds[np.minimum(nxt, n - 1)]
     prv_bound = (prv < starts[owner]) | bounds[np.maximum(prv, 0)]
 
-    dead = np.zeros(n, bool)  # an opening quote that is never closed is an ordinary character
-    while True:
-        opens, closes, left_open = _parity(cls, quote & ~dead, owner, count, nxt_bound, prv_bound)
-        if not len(left_open):
-            break
-        dead[left_open] = True
+    opens, closes = _parity(cls, quote, owner, count, nxt_bound, prv_bound)
     depth = np.cumsum(opens.astype(np.int32) - closes.astype(np.int32))
     inside = (depth > 0) | closes
     fresh = np.zeros(n, bool)
@@ -140,7 +132,10 @@ def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
         total = np.r_[0, np.cumsum((cps == 40).astype(np.int64) - (cps == 41))]
         net = total[last + 1] - total[first]
         quoted = inside[first]
-        low = np.array([np.min(total[a + 1 : b + 1]) - total[a] if o and c and not q else 0 for a, b, o, c, q in zip(first, last, opened, closed, quoted)])
+        low = np.zeros(len(first), np.int64)
+        both = np.flatnonzero(opened & closed & ~quoted)
+        if len(both):  # the least depth within each piece
+            low[both] = np.minimum.reduceat(total, np.c_[first[both] + 1, last[both] + 1].ravel())[::2] - total[first[both]]
         first = first + (~quoted & opened & ((net > 0) | (low > 0)))
         last = last - (~quoted & closed & ((net < 0) | (low > 0)))
         whole = first <= last  # a piece of brackets alone is empty
@@ -157,7 +152,7 @@ def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
         hit = np.flatnonzero(np.isin(piece[first], np.unique(piece[odd])))
         fixed = out.to_pylist()
         for i in hit:
-            fixed[i] = _unescape(text[first[i] : last[i] + 1])
+            fixed[i] = _unescape(cps[first[i] : last[i] + 1].tobytes().decode("utf-32-le"))
         out = pa.array(fixed, pa.string())
     alive = (sizes > 0) & ~dash
     parent = owner[first][alive]
@@ -165,6 +160,19 @@ def split_packed(values: pa.Array, kind: str) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), out.filter(pa.array(alive)))
 
 
+def _code_points(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all strings, one after the other, and how many each has; NULL has none."""
+    strings = pc.fill_null(values.cast(pa.large_string()), "")
+    strings = strings.combine_chunks() if isinstance(strings, pa.ChunkedArray) else strings
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64, len(strings) + 1, strings.offset * 8)
+    if data is None or at[-1] == at[0]:
+        return np.zeros(0, np.uint32), np.zeros(len(strings), np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    upto = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)][at - at[0]]  # bytes that begin a code point
+    return np.frombuffer(str(raw, "utf-8").encode("utf-32-le"), np.uint32), np.diff(upto)
+
+
 def _blanks(cps: np.ndarray) -> np.ndarray:
     return np.array([c for c in np.unique(cps) if chr(c).isspace()], dtype=np.uint32)
 
@@ -190,38 +198,37 @@ def _strings(cps: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def _parity(cls, quote, owner, count, nxt_bound, prv_bound):
-    """Which quote characters open, which close, and which openings stay open; stepped in lockstep."""
+    """Which quote characters open and which close; stepped in lockstep, once.
+
+    A quote closes at the next one of its kind that may close, so an opening quote behind the last of these in its value
+    is never closed: it is an ordinary character.
+    """
     n = len(cls)
     opens, closes = np.zeros(n, bool), np.zeros(n, bool)
     events = np.flatnonzero(quote)
     if not len(events):
-        return opens, closes, events
-    own = owner[events]
+        return opens, closes
+    own, what = owner[events], cls[events]
+    closed = np.zeros(len(events), bool)
+    for kind, ends in ((_DQ, what == _DQ), (_SQ, (what == _SQ) & nxt_bound[events]), (_LC, what == _RC)):
+        last = np.full(count, -1, np.int64)
+        last[own[ends]] = events[ends]  # in order: the last one stays
+        closed |= (what == kind) & (events < last[own])
     rank = np.arange(len(own)) - np.searchsorted(own, own)
     order = np.argsort(rank, kind="stable")
     steps = np.split(order, np.cumsum(np.bincount(rank))[:-1])
     state = np.full(count, 255, np.uint8)  # the class of the quote that is open
-    opener = np.full(count, -1, np.int64)
-    prev_close = np.full(count, -2, np.int64)
     for step in steps:
-        at = events[step]
-        who, what = owner[at], cls[at]
+        at, who, now_what = events[step], own[step], what[step]
         now = state[who]
-        outside = now == 255
-        may = np.where(what == _DQ, True, np.where(what == _SQ, prv_bound[at], what == _LC))
-        again = prev_close[who] == at - 1
-        may |= again & (what == _DQ)
-        op = outside & may
-        shut = ~outside & (
-            ((now == _DQ) & (what == _DQ)) | ((now == _SQ) & (what == _SQ) & nxt_bound[at]) | ((now == _LC) & (what == _RC))
-        )
+        may = (now_what == _DQ) | ((now_what == _SQ) & prv_bound[at]) | (now_what == _LC)
+        op = (now == 255) & may & closed[step]
+        shut = ((now == _DQ) & (now_what == _DQ)) | ((now == _SQ) & (now_what == _SQ) & nxt_bound[at]) | ((now == _LC) & (now_what == _RC))
         opens[at[op]] = True
         closes[at[shut]] = True
-        state[who[op]] = what[op]
-        opener[who[op]] = at[op]
+        state[who[op]] = now_what[op]
         state[who[shut]] = 255
-        prev_close[who[shut]] = at[shut]
-    return opens, closes, opener[np.flatnonzero(state != 255)]
+    return opens, closes
 
 
 def unpack(df: DataFrame, kind: str, least: int = 1, id_col: str = "record_id", value_col: str = "packed") -> DataFrame:

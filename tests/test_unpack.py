@@ -88,3 +88,21 @@ def test_frame(spark):
     assert unpack(df.limit(0), "name", 1, "id", "packed").count() == 0
     with pytest.raises(ValueError):
         unpack(df, "other")
+
+
+def test_unclosed_quotes_take_one_pass():
+    import time
+
+    for quote in ("\u201c", '"', "'"):
+        value = ", ".join(f"{quote}a{i}" for i in range(2001))
+        began = time.perf_counter()
+        got = split_packed(pa.array([value, "x; y"]), "name").to_pylist()
+        assert time.perf_counter() - began < 0.5
+        assert got[1] == ["x", "y"]
+        if quote == "\u201c":
+            assert len(got[0]) == 2001
+
+
+def test_sliced_and_chunked_buffers():
+    values = pa.array(["zz", "é, (b c), “d;e”", None, "", "𝒳 | y"])
+    assert split_packed(values.slice(1, 4), "name").to_pylist() == [["é", "b c", "d;e"], [], [], ["𝒳", "y"]]
