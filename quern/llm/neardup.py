@@ -83,7 +83,8 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
     others = cut_lineage(keys.join(several, ["part", "key"]).where("rid <> first").select("rid"))
     each = docs.join(others, "rid", "left_anti").select("rid", "n", F.explode("sh").alias("g"))
 
-    df2 = each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # few shingles occur twice; stored, so that their number is known when the join with all others is planned
+    df2 = cut_lineage(each.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     t = F.lit(threshold)
     need = F.ceil(t * F.col("n") - 1e-9)
     bits = [F.expr(f"bit_or(if(pmod(g, {64 * SUFFIX_WORDS}) div 64 = {k}, shiftleft(1L, cast(pmod(g, 64) AS int)), 0L))").alias(f"s{k}") for k in range(SUFFIX_WORDS)]

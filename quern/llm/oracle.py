@@ -95,16 +95,26 @@ k AS (SELECT DISTINCT n FROM n),
 g AS (SELECT DISTINCT doc_id, n, array_to_string(w[s:s + n - 1], ' ') AS x
       FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM d, k WHERE len(w) >= n))
 SELECT DISTINCT doc_id, item_id FROM g JOIN e USING (n, x)"""
-SQL["p3_found"] = r"""
-WITH t AS (
+_P3 = r"""
+WITH RECURSIVE t AS (
   SELECT 'zolai_songs' AS table_name, id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}]+') AS w FROM zolai_songs
   UNION ALL SELECT 'articles', id, regexp_extract_all(lower(content), '[\p{L}\p{M}\p{N}]+') FROM articles),
 s AS (SELECT DISTINCT table_name, id, array_to_string(w[i:i + 2], ' ') AS g
       FROM (SELECT table_name, id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) >= 10)),
 n AS (SELECT table_name, id, count(*) AS n FROM s GROUP BY 1, 2),
-o AS (SELECT a.table_name, a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.table_name = b.table_name AND a.g = b.g AND a.id < b.id GROUP BY 1, 2, 3)
-SELECT o.table_name, id_a, id_b FROM o JOIN n x ON x.table_name = o.table_name AND x.id = id_a JOIN n y ON y.table_name = o.table_name AND y.id = id_b
-WHERE c >= 0.5 * (x.n + y.n - c)"""
+o AS (SELECT a.table_name, a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.table_name = b.table_name AND a.g = b.g AND a.id < b.id GROUP BY 1, 2, 3),
+f AS (SELECT o.table_name, id_a, id_b FROM o JOIN n x ON x.table_name = o.table_name AND x.id = id_a JOIN n y ON y.table_name = o.table_name AND y.id = id_b
+      WHERE c >= 0.5 * (x.n + y.n - c))"""
+SQL["p3_found"] = _P3 + "SELECT * FROM f"
+# classes are rows with one set of shingles; groups are what links connect
+SQL["p3_groups"] = _P3 + r""",
+k AS (SELECT table_name, id, min(id) OVER (PARTITION BY table_name, x) AS class_id FROM (SELECT table_name, id, md5(array_to_string(list_sort(array_agg(g)), '|')) AS x FROM s GROUP BY 1, 2)),
+e AS (SELECT DISTINCT f.table_name, a.class_id AS a, b.class_id AS b FROM f JOIN k a ON a.table_name = f.table_name AND a.id = f.id_a JOIN k b ON b.table_name = f.table_name AND b.id = f.id_b WHERE a.class_id <> b.class_id),
+u AS (SELECT * FROM e UNION SELECT table_name, b, a FROM e),
+r AS (SELECT DISTINCT table_name, class_id AS a, class_id AS b FROM k UNION SELECT r.table_name, r.a, u.b FROM r JOIN u ON u.table_name = r.table_name AND u.a = r.b),
+l AS (SELECT table_name, a, min(b) AS group_id FROM r GROUP BY 1, 2)
+SELECT k.table_name, k.id, class_id, group_id, (SELECT count(*) FROM u WHERE u.table_name = k.table_name AND u.a = class_id) AS n_links
+FROM k JOIN l ON l.table_name = k.table_name AND l.a = class_id"""
 # the sources at their limit are those of least limit / target share, up to where the rest of the total fits the others
 SQL["p8_budgets"] = r"""
 WITH n AS (SELECT source, sum(strlen(text))::BIGINT AS tokens FROM documents WHERE strlen(text) > 0 GROUP BY 1),
