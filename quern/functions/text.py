@@ -68,9 +68,19 @@ def clean_web(c: Column) -> Column:
 
 
 def mask_names(c: Column, gazetteer: dict[str, str]) -> Column:
-    """Whole words of a gazetteer replaced by ``[LABEL]``; the longest name first."""
-    for name in sorted(gazetteer, key=lambda n: (-len(n), n)):
-        c = F.regexp_replace(c, rf"(?<![\p{{L}}\p{{N}}]){name}(?![\p{{L}}\p{{N}}])", f"[{gazetteer[name]}]")
+    """Whole names of a gazetteer replaced by ``[LABEL]``; the longest that fits first.
+
+    Names are taken literally, whatever characters they hold. One pass marks them all, one for each label replaces its own.
+    """
+    import re
+
+    either = lambda names: "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n))))
+    named = {n: label for n, label in gazetteer.items() if n}
+    if not named:
+        return c
+    c = F.regexp_replace(c, rf"(?<![\p{{L}}\p{{N}}])({either(named)})(?![\p{{L}}\p{{N}}])", "\x01$1\x01")
+    for label in sorted(set(named.values())):
+        c = F.regexp_replace(c, f"\x01({either(n for n, x in named.items() if x == label)})\x01", re.sub(r"([\\$])", r"\\\1", f"[{label}]"))
     return c
 
 
@@ -185,7 +195,7 @@ def replace_forms(c: Column, forms: dict[str, str] | None = None) -> Column:
     def one(w: Column) -> Column:
         core = F.regexp_extract(w, r"^([^\p{L}\p{N}]*)(.*?)([^\p{L}\p{N}]*)$", 2)
         new = at(table, F.lower(core))
-        cased = F.when(core.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(new, 1, 1)), F.substring(new, 2, 1000))).otherwise(new)
+        cased = F.when(core.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(new, 1, 1)), new.substr(F.lit(2), F.length(new)))).otherwise(new)
         fixed = F.concat(F.regexp_extract(w, r"^([^\p{L}\p{N}]*)", 1), cased, F.regexp_extract(w, r"([^\p{L}\p{N}]*)$", 1))
         return F.coalesce(fixed, w)
 

@@ -6,8 +6,6 @@ skewed partitions. Containment of phrases is an equi-join on word n-grams, never
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +70,18 @@ def ngrams(ws: Column, n: int) -> Column:
     return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.array_join(F.slice(ws, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def phrase_hits(texts: DataFrame, phrases: DataFrame, longest: int) -> DataFrame:
-    """``id, phrase, n`` for every phrase of up to ``longest`` words that stands in a text.
+def phrase_hits(texts: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``id, phrase, n`` for every phrase, however long, that stands in a text.
 
-    ``texts``: id, ws (words); ``phrases``: phrase. n-grams are cut only for the lengths that phrases have.
+    ``texts``: id, ws (words); ``phrases``: phrase. Texts are read once: n-grams are cut for the lengths that phrases
+    have, of which only the distinct numbers reach the driver.
     """
-    sized = phrases.select("phrase").where("phrase IS NOT NULL").distinct().withColumn("k", F.size(F.split("phrase", " "))).where(F.col("k") <= longest)
-    parts = [texts.select("id", F.explode(ngrams(F.col("ws"), n)).alias("phrase")) for n in range(1, longest + 1)]
-    return reduce(DataFrame.unionAll, parts).join(sized.select("phrase"), "phrase").groupBy("id", "phrase").agg(F.count(F.lit(1)).alias("n"))
+    sized = phrases.select("phrase").where("phrase <> ''").distinct()
+    lengths = [r.k for r in sized.select(F.size(F.split("phrase", " ")).alias("k")).distinct().collect()]
+    if not lengths:
+        return texts.select("id", F.lit("").alias("phrase"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    grams = F.concat(*[ngrams(F.col("ws"), n) for n in sorted(lengths)])
+    return texts.select("id", F.explode(grams).alias("phrase")).join(sized, "phrase").groupBy("id", "phrase").agg(F.count(F.lit(1)).alias("n"))
 
 
 def positional(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
@@ -132,7 +134,32 @@ def variants(words: DataFrame, most: int = 4) -> DataFrame:
     return w.join(lists, "meaning").select("word", "meaning", F.slice(F.array_remove("all", F.col("word")), 1, most).alias("peers"))
 
 
-def correct_values(entries: DataFrame, rules: DataFrame) -> DataFrame:
-    """``id, old_value, new_value`` where a rule (word, wrong, right) finds its wrong gloss inside the entry's value."""
-    j = entries.join(rules, "word").where(F.col("value").contains(F.col("wrong")))
-    return j.select("id", F.col("value").alias("old_value"), F.col("right").alias("new_value")).where("old_value <> new_value")
+def correct_values(entries: DataFrame, rules: DataFrame, always: list[str], usage: DataFrame) -> DataFrame:
+    """the change log ``id, word, old_value, new_value, uses, first_use`` of a correction table.
+
+    ``entries``: id, word, value; ``rules``: word (unique), wrong (array of lower-case glosses), right; a value is corrected if any wrong
+    gloss stands in it, or its word is in ``always``. ``usage``: word, id of the texts that hold a word; NULL values count as empty.
+    """
+    value = F.coalesce("value", F.lit(""))
+    j = entries.join(rules, "word").where(F.exists("wrong", lambda w: F.contains(F.lower(value), w)) | F.col("word").isin(always))
+    uses = usage.groupBy("word").agg(F.countDistinct("id").alias("uses"), F.min("id").alias("first_use"))
+    j = j.join(uses, "word", "left").where(~F.col("value").eqNullSafe(F.col("right")))
+    return j.select("id", "word", F.col("value").alias("old_value"), F.col("right").alias("new_value"), F.coalesce("uses", F.lit(0).cast("bigint")).alias("uses"), "first_use")
+
+
+def reference_join(texts: DataFrame, reference: DataFrame, keys: list[str], fixes: dict[str, str], book: str, least: int, least_reference: int, denied: str) -> DataFrame:
+    """``texts`` (keys, own) joined with the reference text of the same keys (keys, other) after book codes are fixed.
+
+    Short texts on either side and own texts that match the ``denied`` pattern are left out.
+    """
+    table = F.create_map(*[F.lit(x) for kv in sorted(fixes.items()) for x in kv]) if fixes else None
+    fixed = lambda df: df.withColumn(book, F.coalesce(T.at(table, F.col(book)), F.col(book))) if fixes else df
+    j = fixed(texts).join(fixed(reference), keys)
+    return j.where((F.length("own") >= least) & (F.length("other") >= least_reference) & ~F.col("own").rlike(denied))
+
+
+def enrich_by_text(df: DataFrame, enriched: DataFrame, text: str, cols: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``cols`` of the last row of ``enriched`` (by ``order``) that has exactly the same text; NULL without one. Joined by digest."""
+    last = enriched.where(F.col(text).isNotNull()).groupBy(F.sha2(F.col(text), 256).alias("_d")).agg(F.max(F.struct(*order, *[c for c in cols if c not in order])).alias("_m"))
+    own = df.withColumn("_d", F.sha2(F.col(text), 256))
+    return own.join(last, "_d", "left").select(*df.columns, *[F.col(f"_m.{c}").alias(f"new_{c}") for c in cols])

@@ -75,28 +75,6 @@ def word_pairs(rows: DataFrame, seed: str = "42") -> DataFrame:
     return s.select("id", F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
-def deep_scores(sentences: DataFrame, known: DataFrame, structures: DataFrame) -> DataFrame:
-    """J13 in part (unknown words, structure), J15: ``id, unknown, structure_known, score``: 100, less 5 for each word that ``known`` lacks and 15 for a
-    structure that ``structures`` lacks (5 if only its core is there), not below 0.
-
-    ``sentences``: id, ws, structure, core; ``known``: word; ``structures``: structure, core. All by equi-join.
-    """
-    k = known.select("word").where("word IS NOT NULL").distinct()
-    lost = sentences.select("id", F.explode(F.array_distinct("ws")).alias("word")).join(k, "word", "left_anti").groupBy("id").agg(F.count(F.lit(1)).alias("unknown"))
-    exact = structures.select("structure").distinct().withColumn("e", F.lit(True))
-    core = structures.select("core").distinct().withColumn("c", F.lit(True))
-    j = sentences.select("id", "structure", "core").join(lost, "id", "left").join(exact, "structure", "left").join(core, "core", "left")
-    how = F.when(F.col("e"), "exact").when(F.col("c"), "core").otherwise("unknown")
-    unknown = F.coalesce("unknown", F.lit(0).cast("bigint"))
-    minus = F.when(how == "exact", 0).when(how == "core", 5).otherwise(15)
-    return j.select("id", unknown.alias("unknown"), how.alias("structure_known"), F.greatest(F.lit(0).cast("bigint"), 100 - 5 * unknown - minus).alias("score"))
-
-
-def rule_checks(own: Column, other: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """Names of the rules that fail: (name, pattern in the other text, pattern that the own text must then hold)."""
-    return F.array_compact(F.array(*[F.when(F.lower(other).rlike(a) & ~F.lower(own).rlike(b), name) for name, a, b in sorted(rules)]))
-
-
 def compounds(texts: DataFrame, parts: DataFrame) -> DataFrame:
     """``id, word, parts`` of words that a compound table (word unique, parts) knows; ``texts``: id, ws."""
     return texts.select("id", F.explode(F.array_distinct("ws")).alias("word")).join(parts, "word")

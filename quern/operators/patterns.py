@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,28 +89,19 @@ def contrast(ws: Column, verbs: list[str]) -> Column:
     return F.when(T.at(ws, -1).isin(verbs), "SOV").when(F.size(F.filter(ws, lambda w: w.isin(verbs))) > 0, "SVO").otherwise("NONE")
 
 
-def gloss(df: DataFrame, lexicon: list[tuple[str, str]], id_col: str, text_col: str, longest: int = 5) -> DataFrame:
-    """K9: ``id, gloss``: greedy longest match of phrases of up to ``longest`` words; unknown words as ``?``.
+def gloss(df: DataFrame, lexicon: DataFrame, id_col: str, text_col: str, longest: int = 5) -> DataFrame:
+    """K9: ``id, gloss``: greedy longest match of phrases of up to ``longest`` words; unknown words as ``?``, texts without words as ``''``.
 
-    The greedy scan is sequential within a text, so it runs over Arrow batches; ``lexicon`` is a
-    list whose size the caller has bounded. NULL text gives a NULL gloss.
+    ``lexicon``: phrase (unique, lower case, single spaces), gloss; of any size. n-grams are looked up by an equi-join, and the
+    greedy walk goes over the hits of one text, which are at most its words. NULL texts give no row, and ids are unique.
     """
-    known = df.sparkSession.sparkContext.broadcast({tuple(k.lower().split()): v for k, v in lexicon})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value
-        for b in batches:
-            out = []
-            for t in b["t"]:
-                if t is None:
-                    out.append(None)
-                    continue
-                ws, i, parts = t.lower().split(), 0, []
-                while i < len(ws):
-                    k = next((k for k in range(min(longest, len(ws) - i), 0, -1) if tuple(ws[i : i + k]) in table), 0)
-                    parts.append(table[tuple(ws[i : i + k])] if k else "?")
-                    i += k or 1
-                out.append(" ".join(parts))
-            yield pd.DataFrame({"id": b["id"], "gloss": out})
-
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInPandas(run, "id bigint, gloss string")
+    t = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), T.words(F.lower(text_col)).alias("ws"))
+    spans = F.expr(f"flatten(transform(sequence(1, {longest}), k -> transform(filter(sequence(0, size(ws)), i -> i + k <= size(ws)), i -> struct(i AS i, k AS k, array_join(slice(ws, i + 1, k), ' ') AS phrase))))")
+    hits = t.select("id", F.explode(spans).alias("x")).select("id", "x.*").join(lexicon.select("phrase", "gloss"), "phrase")
+    best = hits.groupBy("id", "i").agg(F.max(F.struct("k", "gloss")).alias("m"))
+    found = best.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("i", "m"))).alias("at"))
+    walk = F.expr(
+        "aggregate(sequence(0, size(ws)), struct(0 AS free, cast(array() AS array<string>) AS out), (a, i) -> if(i < a.free OR i = size(ws), a, "
+        "struct(i + coalesce(try_element_at(at, i).k, 1) AS free, array_append(a.out, coalesce(try_element_at(at, i).gloss, '?')) AS out)), a -> array_join(a.out, ' '))"
+    )
+    return t.join(found, "id", "left").select("id", walk.alias("gloss"))

@@ -98,13 +98,13 @@ def bigram_association(spark, d):
 
 
 @query(
-    f"""WITH v AS (SELECT book, list_sort(list_distinct({A.format('zolai_text')}))[1:10] AS w FROM bible_verses_enhanced),
+    rf"""WITH v AS (SELECT book, list_sort(list_distinct(list_filter(regexp_extract_all(lower(coalesce(zolai_text, '')), '[a-zà-ɏ'']+|[,;:!.?-]+'), lambda t: t NOT IN {CONTENT_OUT} AND length(t) > 1 AND NOT regexp_matches(t, '^[,;:!.?]')))) AS w FROM bible_verses_enhanced),
 p AS (SELECT book, w[i] AS a, unnest(w[i + 1:]) AS b FROM (SELECT book, w, unnest(range(1, len(w))) AS i FROM v))
 SELECT book, a, b, count(*) AS n FROM p GROUP BY 1, 2, 3 HAVING count(*) >= 2"""
 )
 def verse_cooccurrence(spark, d):
-    """G8 narrowed: all tokens, the first ten of each verse; content_cooccurrence has all pairs."""
-    return stats.cooccurrence(_verses(spark, d), "book", _z(), 10).where("n >= 2")
+    """All pairs of a verse's content words that occur at least twice, by book."""
+    return stats.cooccurrence(_verses(spark, d), "book", T.content_words(T.tokens(F.col("zolai_text"), "ext"))).where("n >= 2")
 
 
 @query(

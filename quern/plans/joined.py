@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quern.functions import rules
 from quern.functions import text as T
 from quern.operators import joins
 from quern.plans.registry import query
-from quern.session import table
+from quern.session import table, texts
 
 B = "trim(coalesce({0}, '')) IN ('', '-')"
 OWN = "list_filter(string_split_regex(lower(coalesce({0}, '')), '\\s+'), lambda w: w <> '')"
@@ -99,13 +100,13 @@ def alignment_nest(spark, d):
 _VW = rf"SELECT unnest({OWN.format('zolai_text')}) AS w FROM bible_verses_enhanced"
 
 
-@query(f"WITH w AS ({_VW}), c AS (SELECT w AS word, count(*) AS n FROM w GROUP BY 1) SELECT word, n FROM c WHERE n > 5 AND length(word) > 2 AND word NOT IN (SELECT lower(zolai) FROM zolai_vocabulary WHERE zolai IS NOT NULL) ORDER BY n DESC, word LIMIT 200")
+@query(f"WITH w AS ({_VW}), c AS (SELECT w AS word, count(*) AS n FROM w GROUP BY 1) SELECT word, n FROM c WHERE n > 50 AND length(word) > 2 AND word NOT IN (SELECT lower(zolai) FROM zolai_vocabulary WHERE zolai IS NOT NULL) ORDER BY n DESC, word LIMIT 2000")
 def missing_words(spark, d):
-    """The 200 most frequent verse words that the vocabulary lacks (the report is a top-k)."""
+    """The 2,000 most frequent verse words above 50 that the vocabulary lacks (the report is a top-k)."""
     w = table(spark, d, "bible_verses_enhanced").select(F.explode(T.words(F.lower("zolai_text"))).alias("word"))
-    c = w.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 5) & (F.length("word") > 2))
+    c = w.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 50) & (F.length("word") > 2))
     known = table(spark, d, "zolai_vocabulary").where("zolai IS NOT NULL").select(F.lower("zolai").alias("word"))
-    return c.join(known, "word", "left_anti").orderBy(F.desc("n"), "word").limit(200)
+    return c.join(known, "word", "left_anti").orderBy(F.desc("n"), "word").limit(2000)
 
 
 @query("SELECT a.zolai, count(e.id) AS n_meanings, bool_or(e.id IS NULL) AS unmatched FROM (SELECT DISTINCT lower(zolai) AS zolai FROM zolai_vocabulary WHERE zolai IS NOT NULL) a LEFT JOIN entries e ON a.zolai = e.headword GROUP BY 1")
@@ -154,15 +155,15 @@ def phrase_translation(spark, d):
 
 @query(
     rf"""WITH p AS (SELECT DISTINCT lower(trim(regexp_replace(zolai, '\s+', ' ', 'g'))) AS phrase FROM zolai_vocabulary WHERE zolai IS NOT NULL),
-v AS (SELECT id, {OWN.format('zolai_text')} AS w FROM bible_verses_enhanced),
-g AS (SELECT id, unnest(list_concat(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS phrase FROM v)
+l AS (SELECT DISTINCT len(string_split(phrase, ' ')) AS k FROM p WHERE phrase <> ''), v AS (SELECT id, {OWN.format('zolai_text')} AS w FROM bible_verses_enhanced),
+g AS (SELECT id, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM v, l))
 SELECT phrase, count(DISTINCT id) AS n_verses, count(*) AS n FROM g JOIN p USING (phrase) GROUP BY 1"""
 )
 def phrase_attestation(spark, d):
-    """Occurrences of vocabulary phrases of up to three words in the verses."""
-    v = table(spark, d, "bible_verses_enhanced").select("id", T.words(F.lower("zolai_text")).alias("ws"))
+    """Occurrences of vocabulary phrases, of any length, in the verses."""
+    v = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text").select("id", T.words(F.lower("zolai_text")).alias("ws"))
     p = table(spark, d, "zolai_vocabulary").select(F.lower(T.squeeze(F.col("zolai"))).alias("phrase"))
-    return joins.phrase_hits(v, p, 3).groupBy("phrase").agg(F.count(F.lit(1)).alias("n_verses"), F.sum("n").alias("n"))
+    return joins.phrase_hits(v, p).groupBy("phrase").agg(F.count(F.lit(1)).alias("n_verses"), F.sum("n").alias("n"))
 
 
 @query(
@@ -217,11 +218,24 @@ def meaning_variants(spark, d):
     return f.select("word", "meaning", F.when(F.size("peers") > 0, F.col("peers")).alias("peers"))
 
 
-@query("SELECT id, english AS old_value, 'house' AS new_value FROM dictionary_enhanced WHERE zolai LIKE 'k%' AND contains(english, 'hammer') AND english <> 'house'")
+ALWAYS = ["in", "leh", "uh", "na", "kei", "tawh", "ci", "lo"]
+
+
+@query(
+    rf"""WITH w AS (SELECT lower(trim(zolai)) AS word, list_distinct(array_agg(lower(trim(english)))) AS wrong FROM dictionary_enhanced WHERE confidence < 0.4 AND NOT {b('english')} AND zolai IS NOT NULL GROUP BY 1),
+r AS (SELECT headword AS word, wrong, english AS new_value FROM entries JOIN w ON word = headword WHERE NOT {b('entries.english')}),
+e AS (SELECT id, lower(trim(zolai)) AS word, english AS value FROM dictionary_enhanced WHERE zolai IS NOT NULL),
+u AS (SELECT word, count(DISTINCT id) AS uses, min(id) AS first_use FROM (SELECT id, unnest({OWN.format('zolai_text')}) AS word FROM bible_verses_enhanced) GROUP BY 1)
+SELECT e.id, word, value AS old_value, new_value, coalesce(uses, 0) AS uses, first_use FROM e JOIN r USING (word) LEFT JOIN u USING (word)
+WHERE (len(list_filter(wrong, lambda x: contains(lower(coalesce(value, '')), x))) > 0 OR word IN {rules.sql_list(ALWAYS)}) AND value IS DISTINCT FROM new_value"""
+)
 def gloss_corrections(spark, d):
-    """a correction table applied where the wrong gloss stands, as a change log."""
-    e = table(spark, d, "dictionary_enhanced").select("id", F.substring("zolai", 1, 1).alias("word"), F.col("english").alias("value"))
-    return joins.correct_values(e, spark.createDataFrame([("k", "hammer", "house")], "word string, wrong string, right string"))
+    """the correction table has the gloss of ``entries`` for headwords whose doubtful dictionary glosses (confidence under 0.4) are wrong ones."""
+    t = table(spark, d, "dictionary_enhanced").where("zolai IS NOT NULL").select("id", F.lower(F.trim("zolai")).alias("word"), F.col("english").alias("value"), "confidence")
+    wrong = t.where((F.col("confidence") < 0.4) & ~T.blank(F.col("value"))).groupBy("word").agg(F.collect_set(F.lower(F.trim("value"))).alias("wrong"))
+    right = table(spark, d, "entries").where(~T.blank(F.col("english"))).select(F.col("headword").alias("word"), F.col("english").alias("right"))
+    usage = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text").select("id", F.explode(T.words(F.lower("zolai_text"))).alias("word"))
+    return joins.correct_values(t.select("id", "word", "value"), right.join(wrong, "word"), ALWAYS, usage)
 
 
 @query(
@@ -235,12 +249,31 @@ def trilingual(spark, d):
 
 
 @query(
-    """SELECT doc_id, source, d.n_docs FROM documents JOIN (SELECT source, count(*) AS n_docs FROM documents GROUP BY 1) d USING (source) WHERE source IN (SELECT source FROM mix_targets)"""
+    r"""WITH v AS (SELECT id, CASE WHEN book = 'NAM' THEN 'NAH' ELSE book END AS book, chapter, verse, source_version, zolai_text, english_text FROM bible_verses_enhanced),
+r AS (SELECT book, chapter, verse, (array_agg(english_text ORDER BY id))[1] AS other FROM v WHERE source_version = 'ed001' AND english_text IS NOT NULL GROUP BY 1, 2, 3)
+SELECT v.id, book, chapter, verse, zolai_text AS own, other FROM v JOIN r USING (book, chapter, verse)
+WHERE source_version <> 'ed001' AND length(zolai_text) >= 10 AND length(other) >= 10 AND NOT regexp_matches(lower(zolai_text), '(^|\s)(pathian|fapa|bawipa)(\s|$)')"""
+)
+def reference_verses(spark, d):
+    """the verses of the other versions with the English of the reference version."""
+    from quern.operators.dedup import first_rows
+
+    keys = ["book", "chapter", "verse"]
+    v = texts(spark, d, "bible_verses_enhanced", "id", *keys, "source_version", "zolai_text", "english_text")
+    ref = first_rows(v.where("source_version = 'ed001' AND english_text IS NOT NULL"), keys, [F.col("id")]).select(*keys, F.col("english_text").alias("other"))
+    own = v.where("source_version <> 'ed001'").select("id", *keys, F.col("zolai_text").alias("own"))
+    return joins.reference_join(own, ref, keys, {"NAM": "NAH"}, "book", 10, 10, r"(?i)(^|\s)(pathian|fapa|bawipa)(\s|$)").select("id", *keys, "own", "other")
+
+
+@query(
+    """WITH e AS (SELECT text, (array_agg(dialect ORDER BY collected_at DESC, doc_id DESC))[1] AS new_dialect, (array_agg(doc_type ORDER BY collected_at DESC, doc_id DESC))[1] AS new_doc_type FROM documents WHERE text IS NOT NULL AND dialect IS NOT NULL AND collected_at IS NOT NULL GROUP BY 1)
+SELECT doc_id, new_dialect, new_doc_type FROM documents LEFT JOIN e USING (text)"""
 )
-def enrich_by_source(spark, d):
-    """rows enriched by a per-key aggregate, restricted by a small dimension."""
-    t = table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "mix_targets").select("source"), "source", "left_semi")
-    return t.join(table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_docs")), "source")
+def enrich_by_text(spark, d):
+    """dialect and type of the last labelled document with exactly the same text."""
+    t = table(spark, d, "documents").select("doc_id", "text", "dialect", "doc_type", "collected_at")
+    last = t.where("dialect IS NOT NULL AND collected_at IS NOT NULL")
+    return joins.enrich_by_text(t, last, "text", ["dialect", "doc_type"], ["collected_at", "doc_id"]).select("doc_id", "new_dialect", "new_doc_type")
 
 
 @query(

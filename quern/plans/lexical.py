@@ -161,35 +161,6 @@ def candidate_pairs(spark, d):
     return lexicon.word_pairs(_verses(spark, d, "zolai_text").select("id", T.tokens(F.col("zolai_text"), "alpha").alias("ws")))
 
 
-@query(
-    _TP
-    + f""", c AS (SELECT id, w, list_transform(w, lambda x: {_CLS}) AS c FROM v), k AS (SELECT id, w, [c[i] FOR i IN range(1, len(c) + 1) IF i = 1 OR c[i] <> c[i - 1]] AS k FROM c),
-s AS (SELECT id, w, array_to_string(k, '-') AS structure, array_to_string(list_filter(k, lambda x: x <> 'O'), '-') AS core FROM k),
-g AS (SELECT structure, core FROM s WHERE id % 2 = 0), u AS (SELECT id, unnest(list_distinct(w)) AS word FROM s), l AS (SELECT id, count(*) AS unknown FROM u WHERE word NOT IN (SELECT lower(trim(zolai)) FROM zolai_vocabulary WHERE zolai IS NOT NULL) GROUP BY 1),
-h AS (SELECT s.id, coalesce(unknown, 0) AS unknown, CASE WHEN structure IN (SELECT structure FROM g) THEN 'exact' WHEN core IN (SELECT core FROM g) THEN 'core' ELSE 'unknown' END AS structure_known FROM s LEFT JOIN l USING (id))
-SELECT id, unknown, structure_known, greatest(0, 100 - 5 * unknown - CASE structure_known WHEN 'exact' THEN 0 WHEN 'core' THEN 5 ELSE 15 END) AS score FROM h"""
-)
-def deep_validation(spark, d):
-    """J13 in part, J15: against the vocabulary and the structures of every second verse (the reference set of this query)."""
-    v = _verses(spark, d, "zolai_text").where("zolai_text IS NOT NULL").select("id", T.tokens(F.col("zolai_text"), "alpha").alias("ws"))
-    s = v.select("id", "ws", patterns.structure(F.col("ws")).alias("structure")).withColumn("core", patterns.core_structure(F.col("structure")))
-    return lexicon.deep_scores(s, table(spark, d, "zolai_vocabulary").select(F.lower(F.trim("zolai")).alias("word")), s.where("id % 2 = 0"))
-
-
-RULES = [("negation", r"(^|\s)not(\s|$)", r"(^|\s)(lo|kei)(\s|$)"), ("plural", r"(^|\s)(we|they)(\s|$)", r"(^|\s)uh(\s|$)"), ("question", r"\?$", r"hiam\?$")]
-
-
-@query(
-    "SELECT id, list_filter(["
-    + ", ".join(f"CASE WHEN regexp_matches(lower(english_text), '{a}') AND NOT regexp_matches(lower(zolai_text), '{b}') THEN '{n}' END" for n, a, b in sorted(RULES))
-    + "], lambda x: x IS NOT NULL) AS failed FROM bible_verses_enhanced WHERE zolai_text IS NOT NULL AND english_text IS NOT NULL"
-)
-def translation_rules(spark, d):
-    """D29."""
-    v = _verses(spark, d, "zolai_text", "english_text").where("zolai_text IS NOT NULL AND english_text IS NOT NULL")
-    return v.select("id", lexicon.rule_checks(F.col("zolai_text"), F.col("english_text"), RULES).alias("failed"))
-
-
 @query(
     rf"""WITH c AS (SELECT w AS word, count(*) AS n FROM (SELECT unnest({A.format('zolai_text')}) AS w FROM bible_verses_enhanced) GROUP BY 1), g AS (SELECT lower(trim(zolai)) AS word, min(english) AS gloss FROM zolai_vocabulary WHERE trim(coalesce(english, '')) NOT IN ('', '-') GROUP BY 1)
 SELECT word, gloss, n FROM g JOIN c USING (word) ORDER BY n DESC, word LIMIT 50"""

@@ -75,22 +75,22 @@ k AS (SELECT id, len(list_filter(z, lambda x: x IN {_L(sorted(rules.FORBIDDEN))}
  CASE WHEN m = 0 THEN 'no_translation' END, CASE WHEN m = 1 THEN 'short_translation' END], lambda x: x IS NOT NULL) AS issues FROM k"""
 )
 def sentence_scores(spark, d):
-    """J10, J11, J17, J18."""
+    """J10, J11."""
     v = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "english_text")
     return v.select("id", quality.sentence_score(F.coalesce("zolai_text", F.lit("")), F.coalesce("english_text", F.lit(""))).alias("s")).select("id", "s.*")
 
 
-RULES = {"lo": "kei", "cun": "tua"}
+_CORRECT = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sorted(rules.FORBIDDEN.items()))
 
 
 @query(
     rf"""WITH v AS (SELECT doc_id, {W.format("lower(text)")} AS r FROM documents), i AS (SELECT doc_id, r, unnest(range(1, len(r) + 1)) AS i FROM v),
 x AS (SELECT doc_id, r, i, list_transform([r[i]], lambda w: {STRIP})[1] AS form FROM i)
-SELECT doc_id, form, CASE form WHEN 'lo' THEN 'kei' ELSE 'tua' END AS correct, array_to_string(r[greatest(i - 2, 1):i + 2], ' ') AS context FROM x WHERE form IN ('lo', 'cun')"""
+SELECT doc_id, form, CASE form {_CORRECT} END AS correct, array_to_string(r[greatest(i - 2, 1):i + 2], ' ') AS context FROM x WHERE form IN {_L(sorted(rules.FORBIDDEN))}"""
 )
 def rule_violations(spark, d):
     """J12."""
-    return quality.find_violations(table(spark, d, "documents"), "doc_id", "text", RULES)
+    return quality.find_violations(table(spark, d, "documents"), "doc_id", "text")
 
 
 @query(" UNION ALL ".join(f"SELECT '{k}' AS form, count(*) AS n FROM bible_verses_enhanced WHERE contains(zolai_text, '{k}')" for k in sorted(rules.FORBIDDEN)))
@@ -137,7 +137,7 @@ def integration_checks(spark, d):
     """SELECT id, CASE WHEN length(zolai) = 1 THEN 'single_char' WHEN regexp_matches(zolai, '[0-9]') THEN 'has_number' WHEN frequency_bible > 0 THEN 'in_bible' WHEN coalesce(frequency_corpus, 0) < 5 THEN 'rare' ELSE 'common' END AS kind FROM zolai_vocabulary"""
 )
 def dictionary_audit(spark, d):
-    """J27, J34."""
+    """J27."""
     k = F.when(F.length("zolai") == 1, "single_char").when(F.col("zolai").rlike("[0-9]"), "has_number").when(F.col("frequency_bible") > 0, "in_bible").when(F.coalesce("frequency_corpus", F.lit(0)) < 5, "rare").otherwise("common")
     return table(spark, d, "zolai_vocabulary").select("id", k.alias("kind"))
 
@@ -242,13 +242,21 @@ def word_order(spark, d):
     return w.groupBy(patterns.contrast(F.col("w"), ["hi.", "hi", "hiam?"]).alias("word_order")).agg(F.count(F.lit(1)).alias("n"))
 
 
-LEXICON = [("hi", "is"), ("a hi", "it is"), ("leh", "and"), ("ka", "I"), ("in", "BY"), ("lo", "not"), ("hiam", "?Q")]
+_GLOSS = rf"""
+x AS (SELECT lower(trim(regexp_replace(zolai, '\s+', ' ', 'g'))) AS phrase, min(trim(english)) AS gloss FROM zolai_vocabulary WHERE zolai IS NOT NULL AND trim(coalesce(english, '')) NOT IN ('', '-') GROUP BY 1),
+s AS (SELECT id, {W.format('lower(title)')} AS w FROM zolai_songs WHERE title IS NOT NULL),
+r AS (SELECT id, w, 1::BIGINT AS i, [] :: VARCHAR[] AS g FROM s
+  UNION ALL SELECT r.id, w, r.i + coalesce(b.k, 1), list_append(g, coalesce(b.gloss, '?')) FROM r
+  LEFT JOIN LATERAL (SELECT k, gloss FROM (SELECT unnest([5, 4, 3, 2, 1]) AS k) JOIN x ON phrase = array_to_string(r.w[r.i:r.i + k - 1], ' ') AND r.i + k - 1 <= len(r.w) ORDER BY k DESC LIMIT 1) b ON true
+  WHERE r.i <= len(w))"""
 
 
-@query()
+@query(f"WITH RECURSIVE {_GLOSS} SELECT id, array_to_string(g, ' ') AS gloss FROM r WHERE i > len(w)")
 def greedy_gloss(spark, d):
-    """K9."""
-    return patterns.gloss(table(spark, d, "bible_verses_enhanced"), LEXICON, "id", "zolai_text")
+    """K9: song titles by the longest vocabulary phrases of up to five words."""
+    v = table(spark, d, "zolai_vocabulary").where(F.col("zolai").isNotNull() & ~T.blank(F.col("english")))
+    lexicon = v.groupBy(F.lower(T.squeeze(F.col("zolai"))).alias("phrase")).agg(F.min(F.trim("english")).alias("gloss"))
+    return patterns.gloss(table(spark, d, "zolai_songs").where("title IS NOT NULL"), lexicon, "id", "title")
 
 
 @query(

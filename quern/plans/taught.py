@@ -135,9 +135,8 @@ UNION ALL SELECT word, 'meaning', o FROM (SELECT *, row_number() OVER (PARTITION
 def evidence_links(spark, d):
     """Vocabulary words and phrases of any length -> the verses that hold them, and words -> meanings."""
     v = table(spark, d, "zolai_vocabulary").where(~T.blank(F.col("zolai"))).select(F.lower(T.squeeze(F.col("zolai"))).alias("word"), "english")
-    longest = v.agg(F.max(F.size(F.split("word", " ")))).first()[0] or 1
     verses = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text").select("id", T.words(F.lower("zolai_text")).alias("ws"))
-    hits = joins.phrase_hits(verses, v.select(F.col("word").alias("phrase")), longest).select("phrase", "id")
+    hits = joins.phrase_hits(verses, v.select(F.col("word").alias("phrase"))).select("phrase", "id")
     one = F.instr("phrase", " ") == 0
     meanings = v.where(~T.blank(F.col("english"))).select("word", F.col("english").alias("meaning"))
     return training.evidence_edges(hits.where(one).withColumnRenamed("phrase", "word"), meanings, 10, hits.where(~one))
