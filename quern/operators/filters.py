@@ -10,6 +10,11 @@ from quern.functions import text as T
 
 DENIED = rules.word_pattern(rules.DENIED_FORMS)
 MOJIBAKE = "â€|Ã[\u0080-¿]|Â"
+# fixed values: marks of other dialects, their connectors, and contexts in which they are only talked about
+DIALECT_DENY = r"(?i)\b(pasian|topa|kumpipa|nunnak|zalenna)\b|(^|[^\w])tua\b|\b(falam|hakha|mizo|lushei)\s+(pau|dialect|chin|language|version|bible|text|script)\b"
+DIALECT_CONNECTORS = r"(?i)\b(cule|cutikah)\b"
+DIALECT_EXPLAIN = r"(?i)(never use|do not use|forbidden|incorrect|wrong|avoid|hakha|falam)"
+DIALECT_QUOTE = r"(?i)zalenna.*cih|zalenna.*policy|zalenna.*thukhu"
 
 
 def first_reason(cases: list[tuple[str, Column]], kept: str = "kept") -> Column:
@@ -51,6 +56,17 @@ def clean_with_reasons(df: DataFrame, id_col: str, text_col: str, dialect_col: s
     return df.withColumn("reason", F.when(again, "duplicate").otherwise(F.col("reason"))).drop("s", "digest", "first_id")
 
 
+def dialect_reasons(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, reason`` of texts that aren't blank: dialect, connector, duplicate (of a kept text with a smaller id) or kept."""
+    t = df.select(id_col, F.trim(text_col).alias("t")).where("t <> ''")
+    plain = ~F.col("t").rlike(DIALECT_EXPLAIN)
+    t = with_reason(t, [("dialect", F.col("t").rlike(DIALECT_DENY) & plain & ~F.col("t").rlike(DIALECT_QUOTE)), ("connector", F.col("t").rlike(DIALECT_CONNECTORS) & plain)])
+    t = t.select(id_col, "reason", F.md5("t").alias("d"))
+    first = t.where("reason = 'kept'").groupBy("d").agg(F.min(id_col).alias("first"))
+    j = t.join(first, "d", "left")
+    return j.select(id_col, F.when((F.col("reason") == "kept") & (F.col(id_col) > F.col("first")), "duplicate").otherwise(F.col("reason")).alias("reason"))
+
+
 def flags(text: Column, dialect: Column) -> list[Column]:
     """D1-D3, D5, D6, D8, D12-D16, D24, D28 as named booleans, false on NULL where the text decides."""
     t = F.coalesce(text, F.lit(""))

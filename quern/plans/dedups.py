@@ -69,30 +69,32 @@ SELECT key, (array_agg(id ORDER BY source_priority, id))[1] AS id, count(*) AS n
 FROM n GROUP BY key"""
 )
 def vocabulary_merge(spark, d):
-    """Priority merge with back-filling."""
+    """priority merge with back-filling."""
     t = table(spark, d, "zolai_vocabulary")
     t = t.select(F.lower(F.trim("zolai")).alias("w"), "id", "source_priority", *[F.trim(c).alias(c) for c in ("english", "myanmar", "pos")])
     return dedup.merge_on_key(t, F.col("w"), [F.col("source_priority"), F.col("id")], "id", ["english", "myanmar", "pos"])
 
 
-@query(
-    """WITH o AS (SELECT doc_id, dialect, doc_type FROM documents WHERE doc_id % 3 <> 0), n AS (SELECT doc_id, coalesce(dialect, 'tedim') AS dialect, doc_type FROM documents WHERE doc_id % 2 = 0)
-SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, coalesce(o.dialect, n.dialect) AS dialect, coalesce(o.doc_type, n.doc_type) AS doc_type FROM o FULL JOIN n ON o.doc_id = n.doc_id"""
-)
+_TWO = """WITH o AS (SELECT headword AS word, pos, english FROM entries), n AS (SELECT lower(trim(zolai)) AS word, (array_agg(pos ORDER BY id))[1] AS pos, (array_agg(english ORDER BY id))[1] AS english FROM zolai_vocabulary WHERE zolai IS NOT NULL GROUP BY 1)
+SELECT coalesce(o.word, n.word) AS word, {} FROM o FULL JOIN n ON o.word = n.word"""
+
+
+def _two(spark, d):
+    """The entries, and the first vocabulary row of each word."""
+    v = table(spark, d, "zolai_vocabulary").where("zolai IS NOT NULL").groupBy(F.lower(F.trim("zolai")).alias("word")).agg(F.min(F.struct("id", "pos", "english")).alias("m"))
+    return table(spark, d, "entries").select(F.col("headword").alias("word"), "pos", "english"), v.select("word", "m.pos", "m.english")
+
+
+@query(_TWO.format("coalesce(o.pos, n.pos) AS pos, coalesce(o.english, n.english) AS english"))
 def upsert_fill(spark, d):
-    """An upsert that fills only what is NULL, between two halves of the documents."""
-    t = table(spark, d, "documents").select("doc_id", "dialect", "doc_type")
-    return mutate.upsert(t.where("doc_id % 3 <> 0"), t.where("doc_id % 2 = 0").withColumn("dialect", F.coalesce("dialect", F.lit("tedim"))), ["doc_id"], fill_only=True)
+    """Vocabulary rows added to the entries, or only filling what is NULL there."""
+    return mutate.upsert(*_two(spark, d), ["word"], fill_only=True)
 
 
-@query(
-    """WITH o AS (SELECT id, pos, english FROM dictionary_enhanced WHERE id % 3 <> 0), n AS (SELECT id, upper(pos) AS pos, english FROM dictionary_enhanced WHERE id % 2 = 0)
-SELECT coalesce(n.id, o.id) AS id, CASE WHEN n.id IS NOT NULL THEN n.pos ELSE o.pos END AS pos, CASE WHEN n.id IS NOT NULL THEN n.english ELSE o.english END AS english FROM o FULL JOIN n ON o.id = n.id"""
-)
+@query(_TWO.format("CASE WHEN n.word IS NOT NULL THEN n.pos ELSE o.pos END AS pos, CASE WHEN n.word IS NOT NULL THEN n.english ELSE o.english END AS english"))
 def upsert_replace(spark, d):
     """M2: last write wins."""
-    t = table(spark, d, "dictionary_enhanced").select("id", "pos", "english")
-    return mutate.upsert(t.where("id % 3 <> 0"), t.where("id % 2 = 0").withColumn("pos", F.upper("pos")), ["id"])
+    return mutate.upsert(*_two(spark, d), ["word"])
 
 
 @query("SELECT zolai AS word, (SELECT 0) + sum(f)::BIGINT AS total FROM (SELECT zolai, frequency_bible AS f FROM zolai_vocabulary UNION ALL SELECT zolai, frequency_songs FROM zolai_vocabulary) GROUP BY 1")
@@ -121,14 +123,6 @@ def child_rows(spark, d):
     return mutate.children(table(spark, d, "articles"), "id", "tags").select("id", F.col("pos").alias("tag_no"), F.col("item").alias("tag"))
 
 
-@query("SELECT id, source_path FROM wiki_content WHERE content_hash IN (SELECT content_hash FROM wiki_content GROUP BY 1 HAVING count(*) = 1) AND content IS NOT NULL")
-def unchanged_skip(spark, d):
-    """Pages whose content hash is stored nowhere else need no new version."""
-    t = table(spark, d, "wiki_content")
-    once = t.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("content_hash")
-    return t.where("content IS NOT NULL").join(once, "content_hash", "left_semi").select("id", "source_path")
-
-
 @query("SELECT regexp_extract(source_file, '([^/]*)$', 1) AS name, count(DISTINCT source_file) AS n_folders FROM dictionary_enhanced WHERE source_file IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source_file) > 1")
 def duplicate_file_names(spark, d):
     """One base name in more than one folder."""

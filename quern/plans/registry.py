@@ -13,6 +13,7 @@ LISTS = {
     "word_profiles": ["top_books"], "alignment_nest": ["words"], "version_differences": ["only_a", "only_b"], "word_families": ["related"], "meaning_variants": ["peers"],
     "sentence_scores": ["issues"], "token_grammar": ["found"], "provenance": ["sources", "senses"], "song_lines": ["first_lines"], "particle_references": ["refs"],
     "multi_sense_words": ["senses"], "translation_rules": ["failed"], "pattern_lookup": ["found"], "dictionary_terms": ["meanings"], "dictionary_terms_all": ["meanings"], "word_morphology": ["stems"],
+    "headword_union": ["sources"], "burmese_union": ["sources"], "vocabulary_frequencies": ["sources"], "alignment_vocabulary": ["meanings", "examples", "collocations"], "syllable_export": ["syllables"],
     "chat_examples": ["messages"], "example_validation": ["issues"], "substring_search": ["match_in"], "quiz_questions": ["options"],
 }
 SEP = " | "
