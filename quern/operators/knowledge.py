@@ -107,7 +107,7 @@ def provenance_state(incoming: DataFrame, stored: DataFrame, key: str, digest: s
     """
     s = stored.select(key, F.col(digest).alias("_d")).where(F.col(key).isNotNull())
     j = incoming.select(key, digest).join(s, key, "left")
-    return j.groupBy(key, digest).agg(F.max(F.coalesce(F.col("_d") == F.col(digest), F.lit(False))).alias("same"), F.count("_d").alias("k")).select(key, F.when(F.col("same"), "skip").when(F.col("k") > 0, "replace").otherwise("new").alias("state"))
+    return j.groupBy(key, digest).agg(F.max(F.coalesce(F.col("_d") == F.col(digest), F.lit(False))).alias("_same"), F.count("_d").alias("_n")).select(key, F.when(F.col("_same"), "skip").when(F.col("_n") > 0, "replace").otherwise("new").alias("state"))
 
 
 def new_versions(df: DataFrame, changed: dict[str, Column], version: str, remarks: str) -> DataFrame:

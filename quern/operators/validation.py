@@ -63,8 +63,8 @@ def deep_checks(sentences: DataFrame, known: DataFrame, verses: DataFrame) -> Da
 
     ``sentences``: id, text, referenced (has a verse reference: its pattern counts as known); ``verses``: ws, the
     reference sentences; ``known``: word. 5 for each unknown word, 5 for an unknown pattern and core, 5 without and 15
-    for an unattested verb, 10 if an object before an attested verb was never near it, 20 for each forbidden form, 5 for a subject
-    behind the verb outside quoted speech. NULL texts count as empty.
+    for an unattested verb, 10 if a content word before the final (the verb among them) was never near a verb that has attested
+    neighbours, 20 for each forbidden form, 5 for a subject behind the verb outside quoted speech. NULL texts count as empty.
     """
     s = sentences.select("id", "referenced", F.coalesce("text", F.lit("")).alias("t")).withColumn("ws", clause_words(F.col("t")))
     s = s.withColumn("pattern", clause_pattern(F.col("ws"))).withColumn("f", final_at(F.col("ws"))).withColumn("verb", F.when(F.col("f") > 1, F.get("ws", F.col("f") - 2)))
@@ -75,7 +75,8 @@ def deep_checks(sentences: DataFrame, known: DataFrame, verses: DataFrame) -> Da
     verbs = uses.where("object IS NULL").select("verb", F.lit(True).alias("attested"))
     out = rules.CLAUSE_SUBJECTS + rules.CLAUSE_INNER + rules.CLAUSE_FINALS
     objects = s.where("verb IS NOT NULL").select("id", "verb", F.explode(F.array_distinct(F.filter(F.slice("ws", F.lit(1), F.col("f") - 1), lambda w: ~w.isin(out)))).alias("object"))
-    strange = objects.join(verbs, "verb", "left_semi").join(uses.where("object IS NOT NULL"), ["verb", "object"], "left_anti").select("id").distinct().withColumn("strange", F.lit(True))
+    near = uses.where("object IS NOT NULL")
+    strange = objects.join(near.select("verb").distinct(), "verb", "left_semi").join(near, ["verb", "object"], "left_anti").select("id").distinct().withColumn("strange", F.lit(True))
     bare = F.transform(T.words(F.lower("t")), lambda w: F.regexp_replace(w, EDGE, ""))
     forbidden = F.size(F.filter(bare, lambda w: w.isin(sorted(rules.FORBIDDEN)))) * 20
     places = lambda cond: F.transform("ws", lambda w, i: F.when(cond(w), i))

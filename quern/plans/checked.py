@@ -43,7 +43,7 @@ n AS (SELECT id, count(*) * 5 AS unknown FROM (SELECT id, unnest(ws) AS word FRO
 e AS (SELECT ws, i, ws[i - 1] AS verb FROM (SELECT ws, unnest(range(2, len(ws) + 1)) AS i FROM v) WHERE ws[i] IN {_l(rules.CLAUSE_FINALS)} AND ws[i - 1] NOT IN {_VERB}),
 o AS (SELECT DISTINCT verb, o FROM (SELECT verb, unnest(ws[greatest(i - 3, 1):i + 1]) AS o FROM e) WHERE o NOT IN {_VERB} AND o <> verb),
 b AS (SELECT DISTINCT verb FROM e),
-c AS (SELECT DISTINCT id FROM (SELECT id, verb, unnest(list_filter(ws[1:f - 1], lambda w: w NOT IN {_l(rules.CLAUSE_SUBJECTS + rules.CLAUSE_INNER + rules.CLAUSE_FINALS)})) AS o FROM a WHERE verb IS NOT NULL) x SEMI JOIN b USING (verb) ANTI JOIN o USING (verb, o)),
+c AS (SELECT DISTINCT id FROM (SELECT id, verb, unnest(list_filter(ws[1:f - 1], lambda w: w NOT IN {_l(rules.CLAUSE_SUBJECTS + rules.CLAUSE_INNER + rules.CLAUSE_FINALS)})) AS o FROM a WHERE verb IS NOT NULL) x SEMI JOIN (SELECT DISTINCT verb FROM o) y USING (verb) ANTI JOIN o USING (verb, o)),
 d AS (SELECT a.id, coalesce(unknown, 0)::INT AS unknown, CASE WHEN pattern IN (SELECT x FROM vp) OR core IN (SELECT x FROM vp) THEN 0 ELSE 5 END AS pattern,
  CASE WHEN verb IS NULL THEN 5 WHEN verb IN (SELECT verb FROM b) THEN 0 ELSE 15 END AS verb_use, CASE WHEN a.id IN (SELECT id FROM c) THEN 10 ELSE 0 END AS collocation,
  (20 * len(list_filter(list_transform(string_split_regex(lower(t), '\s+'), lambda w: regexp_replace(w, {EDGE}, '', 'g')), lambda w: w IN {_l(sorted(rules.FORBIDDEN))})))::INT AS forbidden,

@@ -49,15 +49,8 @@ def path_categories(spark, d):
     return t.select("id", F.split("source_path", "/")[1].alias("category"), T.by_substring(F.col("source_path"), [("grammar", "grammar"), ("reference", "reference")], "general").alias("lesson_type"))
 
 
-@query("SELECT coalesce(nullif(trim(english), ''), nullif(trim(myanmar), ''), zolai) AS first_value, CASE WHEN zolai IS NOT NULL AND pos IS NOT NULL THEN 'dictionary' WHEN zolai IS NOT NULL AND english IS NOT NULL THEN 'parallel' ELSE 'corpus' END AS format, id FROM dictionary_enhanced WHERE coalesce(trim(english), '') <> '-' AND coalesce(trim(myanmar), '') <> '-'")
-def record_formats(spark, d):
-    """A7-A9, of the rows without '-'; record_first_values has all rows."""
-    t = table(spark, d, "dictionary_enhanced").where("coalesce(trim(english), '') <> '-' AND coalesce(trim(myanmar), '') <> '-'")
-    return t.select(F.trim(readers.first_field(t, ["english", "myanmar"])).alias("f"), "zolai", readers.record_format(t).alias("format"), "id").select(F.coalesce("f", "zolai").alias("first_value"), "format", "id")
-
-
 @query("SELECT coalesce(CASE WHEN trim(english) NOT IN ('', '-') THEN trim(english) END, CASE WHEN trim(myanmar) NOT IN ('', '-') THEN trim(myanmar) END, CASE WHEN trim(zolai) NOT IN ('', '-') THEN trim(zolai) END) AS first_value, CASE WHEN zolai IS NOT NULL AND pos IS NOT NULL THEN 'dictionary' WHEN zolai IS NOT NULL AND english IS NOT NULL THEN 'parallel' ELSE 'corpus' END AS format, id FROM dictionary_enhanced")
-def record_first_values(spark, d):
+def record_formats(spark, d):
     """Over all rows; '-' is blank, so the next column is taken."""
     t = table(spark, d, "dictionary_enhanced")
     return t.select(F.trim(readers.first_field(t, ["english", "myanmar", "zolai"])).alias("first_value"), readers.record_format(t).alias("format"), "id")
@@ -91,7 +84,7 @@ def stream_windows(spark, d):
 
 @query("SELECT user_id AS key, count(*) FILTER (value >= 50) AS n_correct FROM events WHERE user_id IS NOT NULL GROUP BY 1")
 def stream_reviews(spark, d):
-    """Custom state."""
+    """Counts kept as state."""
     e = streams.file_stream(spark, f"{d}/events.parquet").where("user_id IS NOT NULL")
     return streams.run(streams.running_count(e, "user_id", F.col("value") >= 50), "update", ["key"])
 

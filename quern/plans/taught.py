@@ -70,7 +70,12 @@ def stratified_sample(spark, d):
     return training.stratified(table(spark, d, "documents").select("doc_id", "doc_type"), "doc_type", "doc_id", {"news": 20, "song": 10})
 
 
-@query()
+@query(
+    """WITH q AS (SELECT id, zolai AS word, english AS answer FROM zolai_vocabulary WHERE trim(regexp_replace(coalesce(english, ''), '\\s+', ' ', 'g')) NOT IN ('', '-') AND trim(regexp_replace(coalesce(zolai, ''), '\\s+', ' ', 'g')) NOT IN ('', '-')),
+a AS (SELECT answer, row_number() OVER (ORDER BY md5('42' || answer), answer) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT answer FROM q)),
+o AS (SELECT a.answer, array_agg(b.answer) AS others FROM a JOIN (SELECT unnest([1, 2, 3]) AS s) ON s < n JOIN a b ON b.i = (a.i + s) % a.n GROUP BY 1)
+SELECT id, word, q.answer, list_sort(list_append(coalesce(others, []), q.answer)) AS options FROM q LEFT JOIN o ON o.answer = q.answer"""
+)
 def quiz_questions(spark, d):
     """L8, G38."""
     return training.quiz(table(spark, d, "zolai_vocabulary"), "id", "zolai", "english")
@@ -113,17 +118,6 @@ def example_validation(spark, d):
     return t.select("item_id", training.validate_examples(t, ["question", "answer"], ["hammer"]).alias("issues"))
 
 
-@query(
-    """WITH v AS (SELECT DISTINCT lower(zolai) AS word, id AS o FROM zolai_vocabulary WHERE zolai IS NOT NULL), m AS (SELECT DISTINCT lower(zolai) AS word, english AS o FROM zolai_vocabulary WHERE zolai IS NOT NULL AND trim(coalesce(english, '')) NOT IN ('', '-'))
-SELECT word, 'verse' AS kind, o::VARCHAR AS target FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM v) WHERE r <= 10
-UNION ALL SELECT word, 'meaning', o FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM m) WHERE r <= 3"""
-)
-def evidence_graph(spark, d):
-    """L22 over the vocabulary alone (its rows in the place of verses); evidence_links has the verses."""
-    v = table(spark, d, "zolai_vocabulary").where("zolai IS NOT NULL").select(F.lower("zolai").alias("word"), "id", "english")
-    return training.evidence_edges(v, v.where(~T.blank(F.col("english"))).select("word", F.col("english").alias("meaning")))
-
-
 @query(
     rf"""WITH k AS (SELECT lower(trim(regexp_replace(zolai, '\s+', ' ', 'g'))) AS word, english FROM zolai_vocabulary WHERE trim(regexp_replace(coalesce(zolai, ''), '\s+', ' ', 'g')) NOT IN ('', '-')),
 t AS (SELECT DISTINCT word, len(string_split(word, ' ')) AS len FROM k), v AS (SELECT id, {W.format('lower(zolai_text)')} AS w FROM bible_verses_enhanced),
@@ -132,7 +126,7 @@ m AS (SELECT DISTINCT word, english AS o FROM k WHERE trim(regexp_replace(coales
 SELECT word, CASE WHEN l = 1 THEN 'verse' ELSE 'phrase-verse' END AS kind, o::VARCHAR AS target FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM h) WHERE r <= 10
 UNION ALL SELECT word, 'meaning', o FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY o) AS r FROM m) WHERE r <= 3"""
 )
-def evidence_links(spark, d):
+def evidence_graph(spark, d):
     """Vocabulary words and phrases of any length -> the verses that hold them, and words -> meanings."""
     v = table(spark, d, "zolai_vocabulary").where(~T.blank(F.col("zolai"))).select(F.lower(T.squeeze(F.col("zolai"))).alias("word"), "english")
     verses = texts(spark, d, "bible_verses_enhanced", "id", "zolai_text").select("id", T.words(F.lower("zolai_text")).alias("ws"))

@@ -6,14 +6,13 @@ import atexit
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-LOCAL_MAP = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-
-
 def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     return ship(
@@ -23,6 +22,8 @@ def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # joins whose measured hash tables are small in every partition need no sort (AQE decides)
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "32m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -40,9 +41,6 @@ def ship(spark: SparkSession) -> SparkSession:
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(str(zipped))
         sc._quern_shipped = str(zipped)
-        # joins whose measured hash tables are small in every partition need no sort (AQE decides)
-        if spark.conf.get(LOCAL_MAP, "0") in ("0", "0b"):
-            spark.conf.set(LOCAL_MAP, "32m")
     return spark
 
 
@@ -72,33 +70,52 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the one the session names in ``spark.checkpoint.dir``.
 
-    Only where none is named (tests, a laptop) a temporary one is set.
+    Only a session within one process (``local``: tests, a laptop) may leave it unset; a temporary one is set there.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="quern-shared-")
         sc.setCheckpointDir(named)
     return named
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes with the :func:`scope` that it was taken in."""
+    path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Computed once (an RDD checkpoint runs its last stage twice), columnar, and independent of the
-    executors that made it: a lost one loses nothing. Removed by :func:`release` or at exit.
+    executors that made it: a lost one loses nothing. Removed at the end of the :func:`scope` that it is called
+    in, by :func:`release` or at exit.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quern-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope() -> Iterator[None]:
+    """Owns the tables written within: ``with scope(): write(query(...))``. They are removed at its end; results must be used before."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(before)
+
+
 @atexit.register
-def release() -> None:
-    """Remove the tables that :func:`cut_lineage` wrote; results that still read them can't be run again."""
-    while _written:
+def release(keep: int = 0) -> None:
+    """Remove the tables that :func:`cut_lineage` wrote, but the first ``keep``; results that still read them can't be run again."""
+    while len(_written) > keep:
         spark, path = _written.pop()
         try:
             jvm = spark.sparkContext._jvm

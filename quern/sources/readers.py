@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from functools import reduce
@@ -145,7 +146,7 @@ def usx_verses(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         visit(root)
         for (c, v), parts in out.items():
-            yield book, c, v, " ".join(" ".join(parts).split())
+            yield book, c, v, re.sub(r"\s+", " ", " ".join(parts), flags=re.ASCII).strip(" ")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -170,6 +171,50 @@ def html_verses(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.explode(hits).alias("h")).select("id", F.col("h.n").cast("int").alias("verse"), T.strip_markup(F.col("h.t")).alias("text"))
 
 
+def page_verses(df: DataFrame, id_col: str, json_col: str, field: str = "content") -> DataFrame:
+    """Verses of stored pages, each a JSON object with the chapter's HTML in ``field``: ``id, verse, text``; a page that isn't JSON gives none."""
+    return html_verses(df.select(F.col(id_col), F.get_json_object(json_col, f"$.{field}").alias("_html")).where("_html IS NOT NULL"), id_col, "_html")
+
+
+def posts(df: DataFrame, json_col: str) -> DataFrame:
+    """``id, title, date, link, tags, content, word_count`` of stored pages of a REST crawl, each a JSON array of posts; HTML as text."""
+    kind = "array<struct<id:bigint,title:struct<rendered:string>,date:string,link:string,tags:array<string>,content:struct<rendered:string>>>"
+    p = df.select(F.explode(F.from_json(json_col, kind)).alias("p")).where("p.id IS NOT NULL")
+    p = p.select("p.id", html_text(F.col("p.title.rendered")).alias("title"), "p.date", "p.link", "p.tags", html_text(F.col("p.content.rendered")).alias("content"))
+    return p.withColumn("word_count", F.size(T.words(F.col("content"))))
+
+
+def conversation_lines(df: DataFrame, line: str, least: int = 2) -> DataFrame:
+    """``line, context, register, word_count`` of lines of ``least`` or more words that read as the language (Burmese script or two function words).
+
+    The context is the label of the line's form; a line is formal if it has a polite ending, else casual.
+    """
+    from quern.functions import rules
+
+    ws = T.words(F.lower(line))
+    own = F.col(line).rlike(T.MYANMAR) | (T.member_count(ws, rules.STOPWORDS) >= 2)
+    register = F.when(F.lower(line).rlike(r"(^|\s)(hen|un|uh)[.!?]*$"), "formal").otherwise("casual")
+    return df.where(own & (F.size(ws) >= least)).select(F.col(line).alias("line"), T.conversation_label(F.col(line)).alias("context"), register.alias("register"), F.size(ws).alias("word_count"))
+
+
+SONG_NAMES = [r"^([0-9]+)[ ._-]+(.+)\.[a-z]+$", r"^(.+?)[ _-]+([0-9]+)\.[a-z]+$", r"^(.+)\.[a-z]+$"]
+
+
+def song_files(files: DataFrame) -> DataFrame:
+    """``collection, number, title, text`` of text files (path, name, text) in the four layouts: number first, number last, no number, or
+    a file of ``N. title`` sections; the collection is the folder. Of songs with one title in a collection the first path counts."""
+    f = files.select("path", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("collection"), "name", "text")
+    many = f.where(F.col("text").rlike(r"(?m)^[0-9]+\.\s"))
+    s = many.select("path", "collection", F.explode(F.filter(F.split("text", r"(?m)(?=^[0-9]+\.\s)"), lambda x: x.rlike(r"^[0-9]+\.\s"))).alias("s"))
+    s = s.select("path", "collection", F.regexp_extract("s", r"^([0-9]+)", 1).cast("int").alias("number"), F.trim(F.regexp_extract("s", r"^[0-9]+\.\s+([^\n]*)", 1)).alias("title"), T.strip(F.regexp_replace("s", r"^[^\n]*\n?", "")).alias("text"))
+    first, last, none = SONG_NAMES
+    get = lambda p, i: F.nullif(F.regexp_extract("name", p, i), F.lit(""))
+    one = f.join(many.select("path").distinct(), "path", "left_anti")
+    one = one.select("path", "collection", F.coalesce(get(first, 1), get(last, 2)).cast("int").alias("number"), F.trim(F.coalesce(get(first, 2), get(last, 1), get(none, 1))).alias("title"), T.strip(F.col("text")).alias("text"))
+    m = s.unionByName(one).groupBy("collection", "title").agg(F.min(F.struct("path", "number", "text")).alias("m"))
+    return m.select("collection", "m.number", "title", "m.text")
+
+
 def packed_instruction(c: Column) -> Column:
     """``### Instruction / Input / Response`` text as a struct, with ``kind``: parallel if it asks to translate."""
     part = lambda name: F.nullif(T.strip(F.regexp_extract(c, rf"(?s)###\s*{name}:?\s*(.*?)(?=###|$)", 1)), F.lit(""))

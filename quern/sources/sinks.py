@@ -30,19 +30,24 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def append_once(new: DataFrame, path: str, key: str) -> int:
-    """Rows whose key the table at ``path`` lacks are appended; how many."""
+def append_once(new: DataFrame, path: str, key: str, order: list[str]) -> int:
+    """Rows whose key the table at ``path`` lacks are appended, of equal keys the first by ``order``; how many.
+
+    What is appended is computed once: the rows are written with the number of their run, and counted where they stand.
+    """
     spark = new.sparkSession
+    rest = [c for c in new.columns if c != key]
+    first = new.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order, F.struct(*rest).alias("_r"))).alias("_m")).select(key, "_m._r.*")
+    run = 0
     try:
-        old = spark.read.parquet(path).select(key)
-        new = new.join(old, key, "left_anti")
+        old = spark.read.parquet(path)
+        run = old.agg(F.max("_run")).first()[0] + 1
+        first = first.join(old.select(key), key, "left_anti")
     except Exception as e:  # noqa: BLE001 - the table isn't there yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    new = new.dropDuplicates([key])
-    n = new.count()
-    new.write.mode("append").parquet(path)
-    return n
+    first.withColumn("_run", F.lit(run)).write.mode("append").parquet(path)
+    return spark.read.parquet(path).where(F.col("_run") == run).count()
 
 
 def manifest(df: DataFrame, before: DataFrame, split_col: str) -> DataFrame:

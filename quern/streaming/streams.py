@@ -6,15 +6,10 @@ share, and ``run`` works off what is there and stops, so the same code serves a
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quern.session import _written, shared_dir
+from quern.session import scratch
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 4) -> DataFrame:
@@ -43,17 +38,8 @@ def first_seen(events: DataFrame, key: str, time: str, late: str = "1 day") -> D
 
 
 def running_count(events: DataFrame, key: str, good: F.Column) -> DataFrame:
-    """The number of good events of each key so far, kept as custom state: ``key, n_correct``."""
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
-        for b in batches:
-            n += int(b["good"].sum())
-        state.update((n,))
-        yield pd.DataFrame({"key": [k[0]], "n_correct": [n]})
-
-    rows = events.select(F.col(key).cast("bigint").alias("key"), F.coalesce(good, F.lit(False)).cast("int").alias("good"))
-    return rows.groupBy("key").applyInPandasWithState(step, "key bigint, n_correct bigint", "n bigint", "update", GroupStateTimeout.NoTimeout)
+    """The number of good events of each key so far: ``key, n_correct``; for update mode."""
+    return events.groupBy(F.col(key).cast("bigint").alias("key")).agg(F.count_if(F.coalesce(good, F.lit(False))).alias("n_correct"))
 
 
 def run(stream: DataFrame, mode: str = "append", key: list[str] | None = None, order: str | None = None) -> DataFrame:
@@ -63,8 +49,7 @@ def run(stream: DataFrame, mode: str = "append", key: list[str] | None = None, o
     with their number, and for each ``key`` the row of the last batch counts.
     """
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/quern-stream-{uuid.uuid4().hex}"
-    _written.append((spark, base))
+    base = scratch(spark)
     out = f"{base}/out"
 
     def write(df: DataFrame, batch: int) -> None:

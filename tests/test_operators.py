@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quern.functions import rules
 from quern.functions import text as T
-from quern.operators import dedup, filters, joins, mutate, patterns, quality, search, stats, training
+from quern.operators import dedup, filters, joins, knowledge, mutate, patterns, quality, search, stats, training, validation
 from quern.plans.queries import Q
 from quern.sources import readers, sinks
 from quern.streaming import streams
@@ -147,14 +148,14 @@ def test_cooccurrence_pairs_all_words(spark):
 def test_first_value_skips_the_dash(spark, tmp_path):
     rows = [(1, "a", "m", "z", "n"), (2, " - ", "m", "z", None), (3, "-", "-", "z", None), (4, None, " ", "z", None), (5, "", "-", "-", None), (6, "x", None, None, None)]
     spark.createDataFrame(rows, "id long, english string, myanmar string, zolai string, pos string").write.parquet(f"{tmp_path}/dictionary_enhanced.parquet")
-    got = {r.id: (r.first_value, r.format) for r in Q["record_first_values"](spark, str(tmp_path)).collect()}
+    got = {r.id: (r.first_value, r.format) for r in Q["record_formats"](spark, str(tmp_path)).collect()}
     assert got == {1: ("a", "dictionary"), 2: ("m", "parallel"), 3: ("z", "parallel"), 4: ("z", "corpus"), 5: (None, "parallel"), 6: ("x", "corpus")}
 
 
 def test_terms_of_all_entries(spark, tmp_path):
     rows = [(1, "w", "to see; look (at); to see (it);look", None), (2, "gamna", None, "n"), (3, "u", None, None), (4, "u", "b;a;b;c;a", "v")]
     spark.createDataFrame(rows, "id long, zolai string, english string, pos string").write.parquet(f"{tmp_path}/dictionary_enhanced.parquet")
-    got = {r.id: (r.term, r.bare, r.meanings, r.pos_shape, r.pos_form) for r in Q["dictionary_terms_all"](spark, str(tmp_path)).collect()}
+    got = {r.id: (r.term, r.bare, r.meanings, r.pos_shape, r.pos_form) for r in Q["dictionary_terms"](spark, str(tmp_path)).collect()}
     assert got == {
         1: ("to see; look (at); to see (it);look", "w", "to see | look", "phrase", "v"), 2: ("n", "gamna", None, None, "n"),
         3: ("", "u", None, None, None), 4: ("v b;a;b;c;a", "u", "b | a | c", "noun", None),
@@ -164,7 +165,7 @@ def test_terms_of_all_entries(spark, tmp_path):
 def test_evidence_reaches_verses(spark, tmp_path):
     spark.createDataFrame([(900, "Gam", "land"), (901, "gam", "country"), (902, "gam  lian a om", "great land"), (903, "zz", None), (904, "-", "x")], "id long, zolai string, english string").write.parquet(f"{tmp_path}/zolai_vocabulary.parquet")
     spark.createDataFrame([(i, "gam lian a om hi") for i in range(1, 13)] + [(13, None)], "id long, zolai_text string").write.parquet(f"{tmp_path}/bible_verses_enhanced.parquet")
-    got = sorted(map(tuple, Q["evidence_links"](spark, str(tmp_path)).collect()))
+    got = sorted(map(tuple, Q["evidence_graph"](spark, str(tmp_path)).collect()))
     ids = [str(i) for i in range(1, 11)]
     assert got == sorted([("gam", "verse", i) for i in ids] + [("gam lian a om", "phrase-verse", i) for i in ids] + [("gam", "meaning", "land"), ("gam", "meaning", "country"), ("gam lian a om", "meaning", "great land")])
 
@@ -180,9 +181,11 @@ def test_phrases_and_families(spark):
 
 
 def test_gloss_is_greedy(spark):
-    df = spark.createDataFrame([(1, "a hi leh x"), (2, None), (3, "")], "id long, t string")
-    got = {r.id: r.gloss for r in patterns.gloss(df, [("a hi", "it-is"), ("a", "A"), ("leh", "and")], "id", "t").collect()}
-    assert got == {1: "it-is and ?", 2: None, 3: ""}
+    df = spark.createDataFrame([(1, "a b c d"), (2, "B  c x"), (3, None), (4, ""), (5, "a b " * 300)], "id long, t string")
+    lex = spark.createDataFrame([("a", "A"), ("a b", "AB"), ("b c", "BC"), ("c", "C"), ("a b c d e f", "long")], "phrase string, gloss string")
+    got = {r.id: r.gloss for r in patterns.gloss(df, lex, "id", "t").collect()}
+    assert got == {1: "AB C ?", 2: "BC ?", 4: "", 5: " ".join(["AB"] * 300)}
+    assert {r.gloss for r in patterns.gloss(df, lex.limit(0), "id", "t").collect()} == {"? ? ? ?", "? ? ?", "", " ".join(["?"] * 600)}
 
 
 def test_search(spark):
@@ -205,8 +208,8 @@ def test_sources_and_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "news", "a"), (2, "song", "b")], "id long, kind string, text string")
     sinks.write_jsonl(rows, out, ["kind"])
     assert sorted(x.name for x in (tmp_path / "out").iterdir() if x.is_dir()) == ["kind=news", "kind=song"]
-    assert sinks.append_once(rows, str(tmp_path / "t"), "id") == 2
-    assert sinks.append_once(rows.unionAll(spark.createDataFrame([(3, "x", "c")], rows.schema)), str(tmp_path / "t"), "id") == 1
+    assert sinks.append_once(rows, str(tmp_path / "t"), "id", ["id"]) == 2
+    assert sinks.append_once(rows.unionAll(spark.createDataFrame([(3, "x", "c")], rows.schema)), str(tmp_path / "t"), "id", ["id"]) == 1
     m = sinks.manifest(rows, rows.unionAll(rows), "kind").first()
     assert (m.total, m.kept, m.removed_pct, json.loads(m.splits)) == (4, 2, 50.0, {"news": 1, "song": 1})
     assert "license: mit" in sinks.card("x", "mit", ["a"], 3)
@@ -273,3 +276,87 @@ def test_lexicon_edges(spark):
     assert (r.a, r.b) == ("x", None)
     assert one(spark, "no json", lambda c: T.json_answer(c, ["a"])).a is None
     assert one(spark, "Title\n\nVerse 1\nka pai\nna pai", lambda c: T.lyric_lines(c, F.lit("title"))) == ["ka pai", "na pai"]
+
+
+# ---- validation and knowledge
+
+
+def test_deep_checks(spark):
+    v = spark.createDataFrame([("topa in gam mu hi",), ("ka inn lei ding",)], "text string").select(validation.clause_words(F.col("text")).alias("ws"))
+    known = spark.createDataFrame([("topa",), ("gam",), ("mu",), ("inn",), ("lei",), (None,)], "word string")
+    rows = [
+        (1, "Topa in gam mu hi.", False), (2, "topa in inn mu hi", False), (3, "zz in gam pai hi", False), (4, None, False), (5, "Pathian, mu hi ka", True), (6, '"mu hi ka"', True), (7, "gamsak", False), (8, " ".join(["q"] * 500), None),
+    ]
+    got = {r.id: r.asDict() for r in validation.deep_checks(spark.createDataFrame(rows, "id long, text string, referenced boolean"), known, v).collect()}
+    # the word before the first final is the verb, and stands among the words before it
+    assert (got[1]["collocation"], got[1]["score"]) == (10, 90)
+    assert (got[2]["collocation"], got[2]["score"]) == (10, 90)
+    assert (got[3]["unknown"], got[3]["verb_use"]) == (10, 15)
+    assert (got[4]["unknown"], got[4]["verb_use"], got[4]["pattern"]) == (0, 5, 5)
+    assert (got[5]["forbidden"], got[5]["word_order"], got[5]["pattern"]) == (20, 5, 0)
+    assert got[6]["word_order"] == 0
+    assert got[7]["unknown"] == 0
+    assert got[8]["score"] == 0
+    assert validation.deep_checks(spark.createDataFrame([], "id long, text string, referenced boolean"), known, v).count() == 0
+
+
+def test_translation_rules():
+    assert len(rules.TRANSLATION_RULES) == 15
+
+
+@pytest.mark.parametrize(("text", "named"), [("Khua ah a va pai hi.", ["has_agreement_a", "has_directional_va", "no_forbidden_words"]), ("Hika hong pai in.", ["has_directional_hong", "has_imperative_in", "no_forbidden_words"])])
+def test_correct_translations(spark, text, named):
+    assert one(spark, text, lambda c: validation.failed_rules(c, named)) == []
+    assert one(spark, "x", lambda c: validation.failed_rules(c, named)) == sorted(n for n in named if not n.startswith("no_"))
+
+
+def test_context_and_routes(spark):
+    v = spark.createDataFrame([("GEN", ["aa", "bb"]), ("GEN", ["aa", "cc"])], "book string, ws array<string>")
+    s = spark.createDataFrame([(1, "GEN", ["aa", "bb"]), (2, "EXO", ["xx", "yy"]), (3, "GEN", []), (4, None, ["aa"])], "id long, book string, ws array<string>")
+    got = {r.id: r.score for r in validation.context_scores(s, spark.createDataFrame([("aa",), ("bb",)], "word string"), v).collect()}
+    assert got == {1: 100.0, 2: 40.0, 3: 0.0, 4: 80.0}
+    o = validation.override(spark.createDataFrame([(1, 50.0), (9, 7.0)], "id long, score double"), spark.createDataFrame([(1, 60.0)], "id long, score double"))
+    assert {tuple(r) for r in o.collect()} == {(1, 60.0, True), (9, 7.0, False)}
+    d = spark.createDataFrame([(1, "good"), (2, "bad"), (3, "worse")], "id long, t string")
+    r = validation.route(d, "t", lambda c: F.when(c == "good", 90).otherwise(10), lambda c: F.replace(c, F.lit("bad"), F.lit("good")), 80)
+    assert {(x.id, x.route, x.before, x.after) for x in r.collect()} == {(1, "valid", 90, 90), (2, "corrected", 10, 90), (3, "invalid", 10, 10)}
+
+
+def test_sources_join_and_versions(spark):
+    rows = spark.createDataFrame([("a", 2, 1, "y", "late", 5), ("a", 1, 9, "x", " ", 3), ("a", 1, 10, "x", "first", None), (None, 1, 1, "x", "z", 1)], "key string, priority int, ord long, source string, english string, n int")
+    assert [tuple(r) for r in knowledge.source_union(rows, ["english"], ["n"]).collect()] == [("a", "x", ["x", "y"], "first", 5)]
+    d = spark.createDataFrame([(1, "a", "m"), (2, "a", "m"), (3, "a", None), (4, "a", None), (5, " ", "m"), (6, " ", "m")], "id long, zolai string, myanmar string")
+    assert {r.id for r in knowledge.drop_later(d, ["zolai", "myanmar"], "id").collect()} == {1, 3, 4, 5, 6}
+    p = knowledge.provenance_state(spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "k string, d string"), spark.createDataFrame([("a", "0"), ("a", "1"), ("b", "9"), (None, "3")], "k string, d string"), "k", "d")
+    assert {tuple(r) for r in p.collect()} == {("a", "skip"), ("b", "replace"), ("c", "new")}
+    e = spark.createDataFrame([(1, " N ", "v1.2"), (2, "n", "v1.2"), (3, None, None)], "id long, pos string, v string")
+    got = {r.id: (r.pos, r.v, r.notes) for r in knowledge.new_versions(e, {"pos": F.lower(F.trim("pos"))}, "v", "notes").collect()}
+    assert got == {1: ("n", "v2.0", "pos:  N  -> n"), 2: ("n", "v1.2", None), 3: (None, None, None)}
+    t = knowledge.FillTask("t", "en", "w", "w IS NOT NULL", "Say {w} ({x}).")
+    f = spark.createDataFrame([("a", None, "1"), ("a", "-", None), ("b", "ok", "2"), (None, None, "3")], "w string, en string, x string")
+    assert [tuple(r) for r in t.pending(f).collect()] == [("t", "a", "Say a ().")]
+    filled = t.apply(f, spark.createDataFrame([("t", "a", "A"), ("t", "a", "B"), ("u", "b", "no")], "task string, key string, answer string"))
+    assert sorted(str(r.en) for r in filled.collect()) == ["A", "A", "None", "ok"]
+    assert knowledge.report_markdown("T", [("s", "m", 2.0), ("r", "k", 1.5)]) == "# T\n\n## r\n\n| metric | value |\n|---|---|\n| k | 1.5 |\n\n## s\n\n| metric | value |\n|---|---|\n| m | 2 |\n"
+    assert [one(spark, w, knowledge.syllables) for w in ("pasian", "khuang", "nga", "zo-en", "strip", "")] == [["pa", "sian"], ["khuang"], ["nga"], ["zo", "en"], ["strip"], []]
+
+
+def test_tables_belong_to_a_scope(spark):
+    import os
+
+    from quern import session
+
+    df = session.cut_lineage(spark.range(3))
+    with session.scope():
+        inner = session.cut_lineage(spark.range(5))
+        path = session._written[-1][1]
+        assert inner.count() == 5
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path)
+    assert df.count() == 3
+
+
+def test_song_layouts(spark):
+    files = [("/x/Hymns/12 - A song.txt", "ka pai\n"), ("/x/Hymns/A song.txt", "again"), ("/x/Youth/B_7.txt", "tu"), ("/x/Book/all.txt", "1. One\nx\ny\n2. Two\nz\n")]
+    df = spark.createDataFrame([(p, p.rsplit("/", 1)[1], t) for p, t in files], "path string, name string, text string")
+    assert sorted(map(tuple, readers.song_files(df).collect()), key=str) == [("Book", 1, "One", "x\ny"), ("Book", 2, "Two", "z"), ("Hymns", 12, "A song", "ka pai"), ("Youth", 7, "B", "tu")]
