@@ -3,11 +3,14 @@
 Characters that need no context are folded by table: invisible ones go, every space becomes the
 plain one, full- and half-width and font variants become ordinary, marks are composed (NFC). Letters
 and digits are settled by word: a token with look-alikes walks a trie of the vocabulary as a weighted
-edit automaton in which look-alikes and ignorables cost nothing and all else is forbidden; the most
-frequent spelling reached is canonical. Tokens that reach none are normalised by table and position.
+edit automaton in which look-alikes and ignorables cost nothing and any other edit one; the most
+frequent spelling reached at the least cost within a budget is canonical. Tokens that reach none are
+normalised by table and position.
 
 Only distinct doubtful tokens and distinct vocabulary words are shuffled, to buckets by skeleton
-(equal for all spellings within zero cost), so each trie holds one bucket of the vocabulary.
+(equal for all spellings within zero cost), so each trie holds one bucket of the vocabulary. With a
+budget above zero, tokens that found nothing go to the buckets of their skeleton and of all forms of
+it that lack a letter, as do the words: two words within one edit share one of these.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.tokens import BASE, INVERSE, mix, powers
 from quern.session import cut_lineage
 
 # fixed values: letters that pass for Latin ones, with what they may stand for
@@ -110,21 +115,68 @@ class Trie:
             node = node.setdefault(c, {})
         node[""] = node.get("", 0) + count
 
-    def spelling(self, token: str) -> str | None:
-        """The most frequent word within zero cost, in the token's letter case; None if there is none.
+    def search(self, token: str, budget: int = 0) -> list[tuple[int, int, str]]:
+        """(cost, count, spelling) of the words within the budget, in the token's letter case, the best first.
 
-        States are (node, spelling so far); ignorable characters are consumed without a move.
+        States are spellings so far, with their node and least cost; ignorable characters are consumed without a move.
+        Ties go to the greater spelling.
         """
-        states = [(self.root, "")]
+        states: dict[str, tuple[dict, int]] = {"": (self.root, 0)}
         for c in unicodedata.normalize("NFD", token):
             if ord(c) in _FOLD and _FOLD[ord(c)] is None:
                 continue
             upper = c.isupper()
-            states = [(node[x], out + (x.upper() if upper else x)) for node, out in states for x in _stands_for(c) if x in node]
+            new: dict[str, tuple[dict, int]] = {}
+
+            def put(out: str, node: dict, cost: int) -> None:
+                if out not in new or cost < new[out][1]:
+                    new[out] = node, cost
+
+            for out, (node, cost) in self._skipping(states, budget).items():
+                for x in _stands_for(c):
+                    if x in node:
+                        put(out + (x.upper() if upper else x), node[x], cost)
+                if cost < budget:
+                    put(out, node, cost + 1)
+                    for x, child in node.items():
+                        if x:
+                            put(out + (x.upper() if upper else x), child, cost + 1)
+            states = new
             if not states:
-                return None
-        ends = [(node[""], out) for node, out in states if "" in node]
-        return unicodedata.normalize("NFC", max(ends, key=lambda e: (e[0], e[1]))[1]) if ends else None
+                return []
+        ends = [(cost, node[""], out) for out, (node, cost) in self._skipping(states, budget).items() if "" in node]
+        return [(c, n, unicodedata.normalize("NFC", out)) for c, n, out in sorted(ends, key=lambda e: (-e[0], e[1], e[2]), reverse=True)]
+
+    @staticmethod
+    def _skipping(states: dict[str, tuple[dict, int]], budget: int) -> dict[str, tuple[dict, int]]:
+        """The states and those behind letters that the token lacks."""
+        if not budget:
+            return states
+        out, todo = dict(states), list(states.items())
+        while todo:
+            at, (node, cost) = todo.pop()
+            if cost < budget:
+                for x, child in node.items():
+                    if x and (at + x not in out or cost + 1 < out[at + x][1]):
+                        out[at + x] = child, cost + 1
+                        todo.append((at + x, out[at + x]))
+        return out
+
+    def spelling(self, token: str) -> str | None:
+        """The most frequent word within zero cost, in the token's letter case; None if there is none."""
+        found = self.search(token)
+        return found[0][2] if found else None
+
+
+def near_keys(token: str) -> np.ndarray:
+    """Hashes of a skeleton and of every form of it that lacks one letter, in time linear in its length."""
+    points = np.frombuffer(skeleton(token).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = len(points)
+    with np.errstate(over="ignore"):
+        before = np.r_[np.uint64(0), np.cumsum(mix(points) * powers(BASE, n))].astype(np.uint64)
+        whole = mix(before[-1:] + mix(np.array([n], np.uint64)))
+        less = mix(before[:-1] + (before[-1] - before[1:]) * INVERSE + mix(np.array([n - 1], np.uint64))) if n else whole[:0]
+    return np.unique(np.r_[whole, less]).view(np.int64)
 
 
 def by_table(token: str) -> str:
@@ -212,17 +264,53 @@ def _spellings(tokens: DataFrame, lexicon: DataFrame, buckets: int) -> DataFrame
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bucket, trie = None, Trie()
         for b in batches:
-            out: list[tuple[str, str]] = []
+            out: list[tuple[str, str, bool]] = []
+            for key, token, n in zip(b["bucket"].tolist(), b["token"].tolist(), b["n"].tolist()):
+                if key != bucket:
+                    bucket, trie = key, Trie()
+                if n:
+                    trie.add(token, n)
+                else:
+                    found = trie.spelling(token)
+                    out.append((token, found or by_table(token), found is not None))
+            yield pd.DataFrame(out, columns=["token", "canonical", "found"]).astype({"found": bool})
+
+    return both.mapInPandas(walk, "token string, canonical string, found boolean")
+
+
+def near_spellings(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``token, near, n, confidence``: for each distinct token the most frequent word at one edit; those that reach none have no row.
+
+    ``confidence`` is the share of that word in the occurrences of all words at one edit. ``lexicon``: token, n.
+    """
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keys = [near_keys(t) for t in b["token"]]
+            sizes = [len(k) for k in keys]
+            rows = b.loc[b.index.repeat(sizes)]
+            yield pd.DataFrame({"bucket": np.concatenate(keys) if keys else np.zeros(0, np.int64), "token": rows["token"].to_numpy(), "n": rows["n"].to_numpy()})
+
+    both = lexicon.select("token", "n").unionAll(tokens.select("token", F.lit(0).cast("bigint").alias("n")).distinct())
+    both = both.mapInPandas(keyed, "bucket bigint, token string, n bigint").repartition("bucket").sortWithinPartitions("bucket", F.col("n").desc())
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, trie = None, Trie()
+        for b in batches:
+            out: list[tuple[str, str, int]] = []
             for key, token, n in zip(b["bucket"].tolist(), b["token"].tolist(), b["n"].tolist()):
                 if key != bucket:
                     bucket, trie = key, Trie()
                 if n:
                     trie.add(token, n)
                 else:
-                    out.append((token, trie.spelling(token) or by_table(token)))
-            yield pd.DataFrame(out, columns=["token", "canonical"])
+                    out += [(token, word, count) for cost, count, word in trie.search(token, 1) if cost == 1]
+            yield pd.DataFrame(out, columns=["token", "near", "n"]).astype({"n": "int64"})
 
-    return both.mapInPandas(walk, "token string, canonical string")
+    # a word may be met in several buckets
+    found = both.mapInPandas(walk, "token string, near string, n bigint").distinct()
+    best = found.groupBy("token").agg(F.max(F.struct("n", "near")).alias("m"), F.sum("n").alias("all"))
+    return best.select("token", F.col("m.near").alias("near"), F.col("m.n").alias("n"), F.round(F.col("m.n") / F.col("all"), 4).alias("confidence"))
 
 
 def _lexicon(fields: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -237,9 +325,18 @@ def _lexicon(fields: list[tuple[DataFrame, str]]) -> DataFrame:
     return words.mapInPandas(sure, "token string, n bigint")
 
 
-def canonicalise(fields: list[tuple[str, str, DataFrame]], lexicon: list[tuple[DataFrame, str]], id_col: str = "id", keep_clean: bool = True, buckets: int = 4096) -> DataFrame:
+def near_report(fields: list[tuple[str, str, DataFrame]], lexicon: list[tuple[DataFrame, str]], id_col: str = "id", buckets: int = 4096) -> DataFrame:
+    """``token, by_table, near, n, confidence`` of the doubtful tokens that no word equals at zero cost but one does at one edit: what a budget of 1 could change."""
+    scanned = _scan([(i, df, c, id_col) for i, (_, c, df) in enumerate(fields)], False)
+    distinct = cut_lineage(scanned.select(F.explode("tokens").alias("token")).distinct())
+    lost = cut_lineage(_spellings(distinct, _lexicon(lexicon), buckets).where("NOT found").select("token", F.col("canonical").alias("by_table")))
+    return lost.join(near_spellings(lost.select("token"), _lexicon(lexicon)), "token")
+
+
+def canonicalise(fields: list[tuple[str, str, DataFrame]], lexicon: list[tuple[DataFrame, str]], id_col: str = "id", keep_clean: bool = True, buckets: int = 4096, budget: int = 0, confidence: float = 0.9) -> DataFrame:
     """``table_name, field_name, record_id, value, canonical`` of every value that is not NULL.
 
+    With a ``budget`` of 1, a doubtful token that no word equals at zero cost takes the word at one edit, if its ``confidence`` is as high.
     ``fields``: (table name, column, table); ``lexicon``: (table, column) whose clean words are the
     vocabulary. Without ``keep_clean`` only values that differ from their canonical form come out.
     Letter case, extra plain spaces and accents as such are kept; empty text stays empty.
@@ -247,7 +344,12 @@ def canonicalise(fields: list[tuple[str, str, DataFrame]], lexicon: list[tuple[D
     scanned = cut_lineage(_scan([(i, df, c, id_col) for i, (_, c, df) in enumerate(fields)], False))
     doubt = scanned.where(F.size("tokens") > 0)
     distinct = doubt.select(F.explode("tokens").alias("token")).distinct()
-    changed = _spellings(distinct, _lexicon(lexicon), buckets).where("token <> canonical")
+    spelt = _spellings(distinct, _lexicon(lexicon), buckets)
+    if budget:
+        spelt = cut_lineage(spelt)
+        near = near_spellings(spelt.where("NOT found").select("token"), _lexicon(lexicon)).where(F.col("confidence") >= confidence)
+        spelt = spelt.join(near.select("token", "near"), "token", "left").select("token", F.coalesce("near", "canonical").alias("canonical"))
+    changed = spelt.where("token <> canonical").select("token", "canonical")
     pairs = doubt.select("f", "record_id", F.explode(F.array_distinct("tokens")).alias("token")).join(changed, "token")
     fixes = pairs.groupBy("f", "record_id").agg(F.collect_list(F.struct("token", "canonical")).alias("fixes"))
     scanned = scanned.join(fixes, ["f", "record_id"], "left")

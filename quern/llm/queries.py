@@ -141,10 +141,14 @@ def p8_budgets(spark: SparkSession, d: str) -> DataFrame:
     return mixing.plan_frame(sizes, table(spark, d, "mix_targets")).select("source", "tokens", "budget", (F.col("exponent") < 1).alias("at_limit"))
 
 
-def _canonical(spark, d, keep_clean):
+def _fields1(spark, d):
     vocabulary, verses = table(spark, d, "zolai_vocabulary"), texts(spark, d, "bible_verses_enhanced", "id", "zolai_text", "myanmar_text")
     fields = [("zolai_vocabulary", "zolai", vocabulary), ("bible_verses_enhanced", "zolai_text", verses), ("bible_verses_enhanced", "myanmar_text", verses)]
-    return lookalikes.canonicalise(fields, [(vocabulary, "zolai"), (vocabulary, "myanmar")], keep_clean=keep_clean)
+    return fields, [(vocabulary, "zolai"), (vocabulary, "myanmar")]
+
+
+def _canonical(spark, d, keep_clean):
+    return lookalikes.canonicalise(*_fields1(spark, d), keep_clean=keep_clean)
 
 
 @query
@@ -157,6 +161,12 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
     return _canonical(spark, d, True).select("table_name", "field_name", "record_id", "canonical")
 
 
+@query
+def p1_near(spark: SparkSession, d: str) -> DataFrame:
+    """What an edit budget of one could change beyond look-alikes."""
+    return lookalikes.near_report(*_fields1(spark, d))
+
+
 def _passages(spark, d):
     articles, labels = table(spark, d, "articles"), table(spark, d, "language_labels")
     labelled = language.with_stated(articles.select("id", "language", F.col("content").alias("text")), "language", labels).withColumnRenamed("stated_lang", "lang")

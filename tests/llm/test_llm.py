@@ -109,6 +109,50 @@ def test_trie_is_zero_cost_search():
     assert trie.spelling("zzz") is None
 
 
+def brute_cost(token, word):
+    """Least edits between a token and a word, look-alikes free."""
+    row = list(range(len(word) + 1))
+    for i, c in enumerate(token, 1):
+        row = _next_row(row, i, c, word)
+    return row[-1]
+
+
+def _next_row(row, i, c, b):
+    new = [i]
+    for j, y in enumerate(b, 1):
+        new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (y not in lookalikes._stands_for(c))))
+    return new
+
+
+def test_edit_budget():
+    rng = random.Random(12)
+    words = sorted({"".join(rng.choice("aelkhp") for _ in range(rng.randint(1, 5))) for _ in range(120)})
+    trie = lookalikes.Trie()
+    for i, w in enumerate(words):
+        trie.add(w, 1 + i % 7)
+    for _ in range(300):
+        token = "".join(rng.choice("аelkhр1p") for _ in range(rng.randint(1, 6)))
+        for budget in (0, 1, 2):
+            want = {w: brute_cost(token, w) for w in words}
+            got = {w: c for c, _, w in trie.search(token, budget)}
+            assert got == {w: c for w, c in want.items() if c <= budget}
+        for w in words:  # one edit apart: a common key
+            if brute_cost(token, w) <= 1:
+                assert set(lookalikes.near_keys(token).tolist()) & set(lookalikes.near_keys(w).tolist())
+
+
+def test_budget_is_bound_by_confidence(spark):
+    df = spark.createDataFrame([(1, "hol1m"), (2, "bаrk"), (3, "zzzz0z"), (4, None), (5, "а" * 20_000)], "id long, v string")
+    lex = spark.createDataFrame([("holims",)] * 9 + [("holi",)] + [("bark",)] + [("barx",)] * 3, "token string")
+    near = {r.token: (r.near, r.n, r.confidence) for r in lookalikes.near_report([("t", "v", df)], [(lex, "token")]).collect()}
+    assert near == {"hol1m": ("holims", 9, 0.9)}
+    get = lambda **kw: {r.record_id: r.canonical for r in lookalikes.canonicalise([("t", "v", df)], [(lex, "token")], **kw).collect()}
+    assert get()[1] == "hollm"
+    assert get(budget=1)[1] == "holims"
+    assert get(budget=1, confidence=0.95)[1] == "hollm"
+    assert {k: v for k, v in get(budget=1).items() if k != 1} == {2: "bark", 3: "zzzzoz", 5: "a" * 20_000}
+
+
 def test_lookalike_edges(spark):
     long = "а" * 50_000
     assert _canon(spark, [(1, long, None, None, None), (1, long, None, None, None)])[1] == "a" * 50_000
