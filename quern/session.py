@@ -12,6 +12,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOCAL_MAP = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
 
 def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
@@ -22,8 +24,7 @@ def get_session(cores: str = "*", partitions: int = 8, app: str = "quern") -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
-        # joins whose measured hash tables are small in every partition need no sort (AQE decides)
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "32m")
+        .config(LOCAL_MAP, "32m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -98,7 +99,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(LOCAL_MAP)
+    # joins whose measured hash tables are small in every partition need no sort (AQE decides); set for this job alone
+    spark.conf.set(LOCAL_MAP, "32m" if before in ("0", "0b") else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(LOCAL_MAP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
