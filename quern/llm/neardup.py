@@ -103,7 +103,7 @@ def similar_pairs(df: DataFrame, threshold: float = 0.8, size: int = 5, least_wo
     apart = sum((F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(SUFFIX_WORDS)), F.lit(0))
     suffix = F.col("a.m") + F.col("b.m") - apart >= 2 * overlap
     cand = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.rid") < F.col("b.rid")) & length & position & suffix)
-    pairs = cand.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+    pairs = cut_lineage(cand.select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct())
     # what two sets share occurs at least twice, so the shortened sets give the whole overlap
     left = pairs.join(ranked.select(F.col("rid").alias("a"), F.col("n").alias("na"), F.col("o").alias("oa")), "a")
     both = left.join(ranked.select(F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("o").alias("ob")), "b")
