@@ -67,6 +67,24 @@ def dialect_reasons(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return j.select(id_col, F.when((F.col("reason") == "kept") & (F.col(id_col) > F.col("first")), "duplicate").otherwise(F.col("reason")).alias("reason"))
 
 
+def line_flags(text: Column, markers: list[str], denied: list[str]) -> list[Column]:
+    """D7, D14, D15, D27 as named booleans: no other language's function word and a marker inside; a denied substring; noise; a line of the language."""
+    t, low = F.coalesce(text, F.lit("")), F.lower(F.coalesce(text, F.lit("")))
+    holds = lambda xs: F.exists(F.array(*[F.lit(x) for x in xs]), lambda x: F.contains(low, x))
+    other = low.rlike(rf"(^|[^\p{{L}}])({'|'.join(rules.ENGLISH_WORDS + rules.GERMAN_WORDS)})($|[^\p{{L}}])")
+    return [
+        (~other & holds(markers)).alias("own_marker"),
+        holds(denied).alias("denied"),
+        ((F.length(F.trim(t)) < 3) | F.ltrim(low).rlike(r"^(###|\[inst\]|<s>|<!doctype)")).alias("noise"),
+        (~t.rlike(r"^\s*(#|https?://|[0-9]+\s*$)") & (t.rlike(T.MYANMAR) | (T.member_count(T.tokens(text, "alpha"), rules.STOPWORDS) >= 2))).alias("own_line"),
+    ]
+
+
+def english_headword(low: Column) -> Column:
+    """A lower-case word that is English by list, suffix (over four letters) or consonant cluster."""
+    return low.isin(rules.ENGLISH_WORDS) | ((F.length(low) > 4) & low.rlike(f"({'|'.join(rules.ENGLISH_SUFFIXES)})$")) | low.rlike("(str|spl|scr|thr|shr|ght|tch|ck|qu|x)")
+
+
 def flags(text: Column, dialect: Column) -> list[Column]:
     """D1-D3, D5, D6, D8, D12-D16, D24, D28 as named booleans, false on NULL where the text decides."""
     t = F.coalesce(text, F.lit(""))

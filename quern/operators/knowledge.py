@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as T
 from quern.operators.stats import collocations, top_per_group
+from quern.session import cut_lineage
 
 
 def drop_later(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
@@ -47,10 +48,10 @@ def related_words(pairs: DataFrame, books: DataFrame, least: int = 6, top: int =
     ``pairs``: a < b, n; ``books``: word, books (in how many a word occurs). Of a word's ``top`` partners those count that occur with it
     ``least`` times, in ``other_books`` books, hold no apostrophe and whose own total isn't above ``noise`` of the largest total.
     """
+    pairs = cut_lineage(pairs)  # read for the totals, their maximum and the partners
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("related"), "n").unionAll(pairs.select(F.col("b").alias("word"), F.col("a").alias("related"), "n"))
     totals = both.groupBy("related").agg(F.sum("n").alias("total"))
-    most = totals.agg(F.max("total").alias("most"))  # one row
-    quiet = totals.join(F.broadcast(most), F.col("total") <= noise * F.col("most")).select("related")
+    quiet = totals.where(F.col("total") <= noise * (totals.agg(F.max("total")).first()[0] or 0)).select("related")
     fit = books.where(F.col("books") >= other_books).select(F.col("word").alias("related")).join(quiet, "related")
     first = top_per_group(both, ["word"], top, [F.desc("n"), F.col("related")]).drop("rank").where(F.col("n") >= least)
     first = first.where(~F.col("related").contains("'")).join(fit, "related", "left_semi").join(books.where(F.col("books") >= own_books).select("word"), "word", "left_semi")

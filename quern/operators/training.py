@@ -79,6 +79,20 @@ def split(df: DataFrame, key: str, test: float = 0.1, val: float = 0.1, least_te
     return r.withColumn("split", F.when(F.col("rank") <= n_test, "test").when(F.col("rank") <= n_test + n_val, "val").otherwise("train")).drop("rank")
 
 
+def ordered_split(df: DataFrame, key: str, shares: list[tuple[str, float]]) -> DataFrame:
+    """``df`` with ``split`` by shares of the largest ``key``, in its order, not shuffled; the last share takes the rest.
+
+    ``key`` is a dense ordinal; only its maximum is needed, so nothing is ranked or shuffled.
+    """
+    most = df.agg(F.max(key)).first()[0] or 0
+    out, upto = None, 0.0
+    for name, share in shares[:-1]:
+        upto += share
+        hit = F.col(key) <= F.lit(int(round(upto, 9) * most))
+        out = F.when(hit, name) if out is None else out.when(hit, name)
+    return df.withColumn("split", out.otherwise(shares[-1][0]) if out is not None else F.lit(shares[-1][0]))
+
+
 def sample(df: DataFrame, key: str, n: int, seed: str = "42") -> DataFrame:
     """The ``n`` rows with the smallest seeded digests (a sampling operator: its limit is the feature)."""
     return df.withColumn("_d", F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))).orderBy("_d", key).limit(n).drop("_d")

@@ -179,17 +179,6 @@ def word_profiles(spark, d):
     return top.groupBy("word", "total", "books").agg(F.sort_array(F.collect_list(F.struct("rank", "book"))).alias("b")).select("word", F.col("total").alias("n"), "books", F.transform("b", lambda x: x["book"]).alias("top_books"))
 
 
-@query(
-    """WITH h AS (SELECT string_split(lower(trim(zolai)), '-') AS p FROM dictionary_enhanced WHERE zolai LIKE '%-%')
-SELECT p[-1] AS suffix, count(*) AS n, count(DISTINCT p[1]) AS prefixes FROM h WHERE len(p) = 2 GROUP BY 1 HAVING count(*) >= 2"""
-)
-def hyphen_rules(spark, d):
-    """G19."""
-    p = F.split(F.lower(F.trim("zolai")), "-")
-    h = table(spark, d, "dictionary_enhanced").where("zolai LIKE '%-%'").select(p.alias("p")).where(F.size("p") == 2)
-    return h.groupBy(F.col("p")[1].alias("suffix")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.col("p")[0]).alias("prefixes")).where("n >= 2")
-
-
 COVER = ["english", "myanmar", "pos", "tone_category", "compound_parts", "root_word", "bible_books"]
 
 

@@ -360,3 +360,17 @@ def test_song_layouts(spark):
     files = [("/x/Hymns/12 - A song.txt", "ka pai\n"), ("/x/Hymns/A song.txt", "again"), ("/x/Youth/B_7.txt", "tu"), ("/x/Book/all.txt", "1. One\nx\ny\n2. Two\nz\n")]
     df = spark.createDataFrame([(p, p.rsplit("/", 1)[1], t) for p, t in files], "path string, name string, text string")
     assert sorted(map(tuple, readers.song_files(df).collect()), key=str) == [("Book", 1, "One", "x\ny"), ("Book", 2, "Two", "z"), ("Hymns", 12, "A song", "ka pai"), ("Youth", 7, "B", "tu")]
+
+
+def test_ordered_split(spark):
+    df = spark.range(1, 11).withColumn("split", F.lit("own"))
+    got = {r.id: r.split for r in training.ordered_split(df, "id", [("train", 0.8), ("val", 0.1), ("test", 0.1)]).collect()}
+    assert got == {**{i: "train" for i in range(1, 9)}, 9: "val", 10: "test"}
+    assert training.ordered_split(df.limit(0), "id", [("train", 1.0)]).count() == 0
+
+
+def test_line_flags(spark):
+    df = spark.createDataFrame([(1, "ka pai hi uh"), (2, "the hi"), (3, "### x"), (4, None), (5, "LOREM ipsum text"), (6, "# a hi in"), (7, "မြန်မာ စာ")], "id long, t string")
+    got = {r.id: tuple(r)[1:] for r in df.select("id", *filters.line_flags(F.col("t"), ["hi"], ["lorem ipsum"])).collect()}
+    assert got == {1: (True, False, False, False), 2: (False, False, False, False), 3: (False, False, True, False), 4: (False, False, True, False), 5: (False, True, False, False), 6: (False, False, False, False), 7: (False, False, False, True)}
+    assert [one(spark, w, filters.english_headword) for w in ("the", "nation", "thought", "kei")] == [True, True, True, False]
