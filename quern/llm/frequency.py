@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import cut_lineage
+
 WORD = r"[\p{L}\p{M}\p{N}]+"
 PARTIAL = pa.schema([("field_name", pa.string()), ("term", pa.string()), ("occurrences", pa.int64()), ("n_rows", pa.int64())])
 BITS = 4
@@ -43,7 +45,7 @@ def _special_case(chunk: pa.Table) -> pa.Table:
 
 
 def _partial(con, chunk: pa.Table) -> pa.Table:
-    """Occurrences and rows of each term of a chunk (field_name, value, is_text)."""
+    """Occurrences and rows of each term of a chunk (field_name, value, is_text); the rows of a field have a NULL term."""
     chunk = _special_case(chunk)
     con.register("chunk", chunk)
     got = con.sql(
@@ -55,6 +57,7 @@ def _partial(con, chunk: pa.Table) -> pa.Table:
         t AS (SELECT field_name, rid, unnest(terms) AS term FROM r),
         d AS (SELECT field_name, rid, term, count(*) AS c FROM t GROUP BY ALL)
         SELECT field_name, term, sum(c)::BIGINT AS occurrences, count(*)::BIGINT AS n_rows FROM d GROUP BY ALL
+        UNION ALL SELECT field_name, NULL, 0, count(*) FROM chunk GROUP BY field_name
         """
     ).to_arrow_table()
     con.unregister("chunk")
@@ -156,8 +159,6 @@ def term_frequency(
     ]
     rows = reduce(DataFrame.unionAll, parts)
     rows = rows.where(F.col("value").isNotNull() & ~F.regexp_replace("value", r"[\s\p{Z}]+", "").isin("", "-"))
-    # one row for each field name, whatever the size of the data
-    totals = rows.groupBy("field_name").agg(F.count(F.lit(1)).alias("field_rows"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tmp = tempfile.mkdtemp(prefix="terms-", dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None)
@@ -181,7 +182,10 @@ def term_frequency(
             yield from got.to_batches(max_chunksize=50_000)
 
     schema = "field_name string, term string, occurrences bigint, n_rows bigint"
-    counted = rows.mapInArrow(count, schema).repartition("field_name", "term").mapInArrow(total, schema)
+    # stored, so that the texts are read once for both terms and rows
+    counted = cut_lineage(rows.mapInArrow(count, schema).repartition("field_name", "term").mapInArrow(total, schema))
+    # one row for each field name, whatever the size of the data
+    totals = counted.where("term IS NULL").select("field_name", F.col("n_rows").alias("field_rows"))
     share = F.col("n_rows") > F.lit(common_share) * F.col("field_rows")
     mark = F.when(F.col("n_rows") <= rare_rows, "rare").when(share, "common")
-    return counted.join(F.broadcast(totals), "field_name").withColumn("mark", mark)
+    return counted.where("term IS NOT NULL").join(F.broadcast(totals), "field_name").withColumn("mark", mark)
